@@ -9,6 +9,7 @@ from perigee.functions.columns import hash_text, hash_uniform, hash_word
 from perigee.operators.neighbours import LEAF_ROWS, nearest_neighbours
 from perigee.operators.scaling import fit_scaler
 from perigee.operators.splits import SEED, cut_by_hash
+from perigee.session import stable
 
 
 def class_weights(df: DataFrame, label: str = "hazardous") -> DataFrame:
@@ -57,14 +58,14 @@ def synthetic_rows(
     if wanted and minority_rows < 2:
         raise ValueError("at least two minority rows are needed")
     each, extra = divmod(wanted, max(minority_rows, 1))
-    minority = train.where(F.col(label).cast("int") == 1)
+    minority = train.where(F.col(label).cast("int") == 1).select(key, *features)
     base = cut_by_hash(
-        minority.select(key, *features), key, lambda n: [F.lit(extra)], [each + 1, each], seed=f"{seed}:extra", out="copies"
-    )
-    if scale_first:
-        base = base.drop(*features).join(fit_scaler(minority, features).transform(minority.select(key, *features)), key)
-    neighbours = nearest_neighbours(base, key, features, k, leaf_rows)
-    copies = base.select(key, "copies").join(neighbours, key).where(F.col("copies") > 0)
+        minority, key, lambda n: [F.lit(extra)], [each + 1, each], seed=f"{seed}:extra", out="copies")
+    scaler = fit_scaler(minority, features) if scale_first else None
+    if scaler:
+        base = scaler.transform(base)
+    neighbours = nearest_neighbours(base, key, features, k, leaf_rows, keep=["copies"])
+    copies = neighbours.where(F.col("copies") > 0)
     digest = hash_text(f"{seed}:smote", key, "copy")
     grown = (
         copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
@@ -76,8 +77,7 @@ def synthetic_rows(
     values = [
         (F.col("x")[i] + F.col("_u") * (F.col("_nn.x")[i] - F.col("x")[i])).alias(c) for i, c in enumerate(features)
     ]
-    if scale_first:
-        scaler = fit_scaler(minority, features)
+    if scaler:
         values = [
             (v * F.lit(scaler.stds[c] or 1.0) + F.lit(scaler.means[c])).alias(c) for v, c in zip(values, features)
         ]
@@ -102,13 +102,14 @@ def smote(
 ) -> DataFrame:
     """Training rows plus synthetic minority rows, so that both classes are equally large.
 
+    The synthetic rows are checkpointed, so reading the result again does not repeat the search.
     Columns: row_key, the row's own key (NULL for synthetic rows), features, label, synthetic.
     """
     original = train.select(
         F.col(key).cast("string").alias("row_key"), key, *features,
         F.col(label).cast("int").alias(label), F.lit(False).alias("synthetic"),
     )
-    new = synthetic_rows(train, features, label, key, k, seed, scale_first, leaf_rows).select(
+    new = stable(synthetic_rows(train, features, label, key, k, seed, scale_first, leaf_rows).select(
         "row_key", *features, F.lit(1).alias(label), F.lit(True).alias("synthetic")
-    )
+    ))
     return original.unionByName(new, allowMissingColumns=True)

@@ -111,7 +111,7 @@ def page(
     if offset <= near_offset:
         rows = df.orderBy(key).offset(offset).limit(limit) if offset else df.orderBy(key).limit(limit)
     else:
-        found = select_ranks(df, {key: [offset]})
+        found, _ = select_ranks(df, [key], lambda n: [offset])
         start = found.first()[0] if found.columns else None
         rows = df.where(F.col(key) >= F.lit(start)).orderBy(key).limit(limit) if start is not None else df.limit(0)
     return rows.withColumn("total", total)

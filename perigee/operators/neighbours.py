@@ -15,10 +15,11 @@ Leaf work is numpy over one leaf at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +34,9 @@ VISITS_PER_TASK = 20_000
 DISTANCE_CELLS = 2_000_000
 SLACK = 1.0 + 1e-9
 
+# The leaf functions travel with the plan: executors need numpy and pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _HIT = "vid long, d2 double, other long, other_x array<double>, other_members array<long>"
 _OWN = "vid long, leaf long, x array<double>, members array<long>, reach double, hits array<struct<d2: double, other: long, other_x: array<double>, other_members: array<long>>>"
 
@@ -140,7 +144,7 @@ def _own_leaf(k: int):
 
 
 def _visited_leaf(k: int):
-    def search(visitors: pd.DataFrame, leaf: pd.DataFrame) -> Iterator[pd.DataFrame] | pd.DataFrame:
+    def search(visitors: pd.DataFrame, leaf: pd.DataFrame) -> pd.DataFrame:
         if visitors.empty or leaf.empty:
             return pd.DataFrame({"vid": [], "d2": [], "other": [], "other_x": [], "other_members": []})
         vid, x = leaf["vid"].to_numpy(), np.stack(leaf["x"].to_numpy())
@@ -272,21 +276,27 @@ def nearest_vectors(vectors: DataFrame, width: int, k: int, leaf_rows: int = LEA
 
 
 def nearest_neighbours(
-    points: DataFrame, key: str, features: list[str], k: int = 5, leaf_rows: int = LEAF_ROWS
+    points: DataFrame,
+    key: str,
+    features: list[str],
+    k: int = 5,
+    leaf_rows: int = LEAF_ROWS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Per row: its vector ``x`` and ``neighbours``, up to k (squared distance, key, vector), nearest first.
 
     Ties are broken by the smaller key. Fewer than k come back only where the table has fewer rows.
+    ``keep`` names further columns to carry along. The points are read several times, so they are
+    checkpointed first.
     """
-    vectors = distinct_vectors(points, key, features, k + 1)
-    near = nearest_vectors(stable(vectors), len(features), k, leaf_rows)
+    keep = keep or []
+    points = stable(points.select(key, *keep, *[F.col(c).cast("double").alias(c) for c in features]))
+    vectors = stable(distinct_vectors(points, key, features, k + 1))
+    near = nearest_vectors(vectors, len(features), k, leaf_rows)
     lists = near.select(*[F.col("x")[i].alias(c) for i, c in enumerate(features)], "x", "near")
-    rows = salted_join(
-        points.select(key, *[F.col(c).cast("double").alias(c) for c in features]),
-        lists, features, F.col(key), "inner",
-    )
+    rows = salted_join(points, lists, features, F.col(key), "inner")
     without_itself = F.filter("near", lambda n: n["key"] != F.col(key))
-    return rows.select(key, "x", F.slice(without_itself, 1, k).alias("neighbours"))
+    return rows.select(key, *keep, "x", F.slice(without_itself, 1, k).alias("neighbours"))
 
 
 def neighbour_pairs(neighbours: DataFrame, key: str) -> DataFrame:

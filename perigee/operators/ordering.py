@@ -8,6 +8,7 @@ the driver.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -67,21 +68,26 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
             t.settled = True
 
 
-def select_ranks(df: DataFrame, ranks: dict[str, list[int]], bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+def select_ranks(
+    df: DataFrame, columns: list[str], ranks: Callable[[int], list[int]], bracket_rows: int = BRACKET_ROWS
+) -> tuple[DataFrame, dict[str, int]]:
     """Exact order statistics: one row with column "<column>__<rank>" per zero-based rank.
 
+    ``ranks`` maps a column's value count to the wanted ranks. The counts are returned as well.
+
     NULL and NaN values are left out of the order. Each round scans the table twice and shrinks a
     bracket about 2,500-fold, so a trillion rows need two rounds; the last step groups the few
     values left in each bracket.
     """
     df = df.select(*[F.nanvl(F.col(c), F.lit(None)).alias(c) if t in ("double", "float") else F.col(c)
-                     for c, t in df.select(*ranks).dtypes])
+                     for c, t in df.select(*columns).dtypes])
     head = df.agg(*[
-        e for c in ranks for e in (F.count(c).alias(f"n__{c}"), F.min(c).alias(f"lo__{c}"), F.max(c).alias(f"hi__{c}"))
+        e for c in columns for e in (F.count(c).alias(f"n__{c}"), F.min(c).alias(f"lo__{c}"), F.max(c).alias(f"hi__{c}"))
     ]).first()
+    sizes = {c: head[f"n__{c}"] for c in columns}
     targets = [
-        _Target(c, r, head[f"lo__{c}"], head[f"hi__{c}"], 0, head[f"n__{c}"])
-        for c, wanted in ranks.items() for r in sorted(set(wanted)) if 0 <= r < head[f"n__{c}"]
+        _Target(c, r, head[f"lo__{c}"], head[f"hi__{c}"], 0, n)
+        for c, n in sizes.items() for r in sorted(set(ranks(n))) if 0 <= r < n
     ]
     while wide := [t for t in targets if t.open and t.inside > bracket_rows]:
         _narrow(df, wide)
@@ -112,44 +118,43 @@ def select_ranks(df: DataFrame, ranks: dict[str, list[int]], bracket_rows: int =
             reached = (F.col("b") == b) & (F.col("upto") > F.lit(t.rank - t.below))
             values.append(F.min(F.when(reached, F.col("value"))).alias(name))
     if source is None:
-        return df.sparkSession.range(1).select(*values)
+        return df.sparkSession.range(1).select(*values), sizes
     return source.agg(*[F.max(v).alias(f"{t.column}__{t.rank}") if t.low == t.high else v
-                        for t, v in zip(targets, values)])
+                        for t, v in zip(targets, values)]), sizes
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], bracket_rows: int = BRACKET_ROWS) -> DataFrame:
     """One row per column with q1..qn: exact quantiles, linear between neighbouring ranks."""
-    sizes = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns]).first()
-    wanted: dict[str, list[int]] = {}
-    places: dict[tuple[str, int], tuple[int, int, float]] = {}
-    for c in columns:
-        last = sizes[c] - 1
-        for i, p in enumerate(probs):
-            position = p * max(last, 0)
-            low = math.floor(position)
-            high = min(low + 1, max(last, 0))
-            places[(c, i)] = (low, high, position - low)
-            wanted.setdefault(c, []).extend([low, high] if last >= 0 else [])
-    row = select_ranks(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), wanted, bracket_rows)
+    def place(n: int, p: float) -> tuple[int, int, float]:
+        position = p * (n - 1)
+        low = math.floor(position)
+        return low, min(low + 1, n - 1), position - low
+
+    row, sizes = select_ranks(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns,
+        lambda n: [r for p in probs for r in place(n, p)[:2]] if n else [], bracket_rows,
+    )
     items = []
     for c in columns:
         fields = [F.lit(c).alias("column")]
-        for i in range(len(probs)):
-            low, high, fraction = places[(c, i)]
+        for i, p in enumerate(probs, 1):
             if sizes[c] == 0:
-                fields.append(F.lit(None).cast("double").alias(f"q{i + 1}"))
-            else:
-                a, b = F.col(f"{c}__{low}"), F.col(f"{c}__{high}")
-                fields.append((a + (b - a) * F.lit(fraction)).alias(f"q{i + 1}"))
+                fields.append(F.lit(None).cast("double").alias(f"q{i}"))
+                continue
+            low, high, fraction = place(sizes[c], p)
+            a, b = F.col(f"{c}__{low}"), F.col(f"{c}__{high}")
+            fields.append((a + (b - a) * F.lit(fraction)).alias(f"q{i}"))
         items.append(F.struct(*fields))
     return row.select(F.explode(F.array(*items)).alias("q")).select("q.*")
 
 
 def range_cuts(df: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> list[float]:
     """At most ``buckets`` - 1 increasing cut values that split the rows about evenly."""
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(column).cast("double"), probs, 4 * buckets)).first()
-    return sorted(set(row[0] or []))
+    # one SQL text: thousands of literals would each cost a call into the JVM
+    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(cast(`{column}` AS double), array({shares}), {4 * buckets})")
+    row = df.agg(sketch.alias("cuts")).first()
+    return sorted(set(row["cuts"] or []))
 
 
 def range_bucket(df: DataFrame, column: str, cuts: list[float], out: str = "_bucket") -> DataFrame:

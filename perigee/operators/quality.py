@@ -42,12 +42,14 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return per_column(row, columns, {"nulls": "long"})
 
 
-def expect_positive(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows at or below zero (or missing) per column."""
-    row = df.agg(*[
-        F.count_if(F.col(c).isNull() | (F.col(c) <= 0)).alias(f"violations__{c}") for c in columns
-    ])
-    return per_column(row, columns, {"violations": "long"}).withColumn("ok", F.col("violations") == 0)
+def violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Rows that break each condition, all conditions in one scan."""
+    row = df.agg(*[F.count_if(broken).alias(f"violations__{name}") for name, broken in checks.items()])
+    return per_column(row, list(checks), {"violations": "long"}).withColumn("ok", F.col("violations") == 0)
+
+
+def not_positive(column: str) -> Column:
+    return F.col(column).isNull() | (F.col(column) <= 0)
 
 
 def not_finite(column: str) -> Column:
@@ -55,11 +57,14 @@ def not_finite(column: str) -> Column:
     return c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
 
 
+def expect_positive(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows at or below zero (or missing) per column."""
+    return violations(df, {c: not_positive(c) for c in columns})
+
+
 def expect_finite(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """NULL, NaN or infinite values per numeric column, from one scan."""
-    columns = columns or _numeric(df)
-    row = df.agg(*[F.count_if(not_finite(c)).alias(f"violations__{c}") for c in columns])
-    return per_column(row, columns, {"violations": "long"}).withColumn("ok", F.col("violations") == 0)
+    """NULL, NaN or infinite values per numeric column."""
+    return violations(df, {c: not_finite(c) for c in columns or _numeric(df)})
 
 
 def require(report: DataFrame) -> None:

@@ -2,7 +2,8 @@
 
 Rows are ordered by a seeded hash inside each class. A histogram over the first four hex digits
 (at most 65,536 bins per class) locates the bin of every cut; only rows of those bins are ranked.
-The cuts become one threshold row per class, and the table is labelled in a map-side pass.
+What comes back is the (hash, key) of one row per class and cut. Labelling is then a plain column
+expression: no join, no shuffle.
 """
 
 from __future__ import annotations
@@ -18,11 +19,55 @@ from perigee.functions.columns import hash_text
 SEED = 42
 SPLIT_NAMES = ["train", "val", "test"]
 
+Cuts = Callable[[Column], list[Column]]
+
+
+def _stratum(label: str | None) -> Column:
+    """1, 0 or -1 (missing): at most three classes whatever the table holds."""
+    if label is None:
+        return F.lit(0)
+    return F.coalesce(F.col(label).cast("boolean").cast("int"), F.lit(-1))
+
+
+def _position(seed: int | str, key: str) -> Column:
+    return F.struct(hash_text(seed, key).alias("h"), F.col(key).alias("k"))
+
+
+def find_cuts(df: DataFrame, key: str, cuts: Cuts, label: str | None, seed: int | str) -> dict[int, dict[int, tuple]]:
+    """Per class and cut, the (hash, key) of the row at the cut's rank. A rank of zero has no row."""
+    keyed = df.select(_stratum(label).alias("s"), _position(seed, key).alias("p")).withColumn(
+        "bin", F.substring("p.h", 1, 4))
+    by_class = W.partitionBy("s")
+    bins = (
+        keyed.groupBy("s", "bin").agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("upto", F.sum("rows").over(by_class.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)))
+        .withColumn("n", F.sum("rows").over(by_class))
+    )
+    ranks = F.array(*[
+        F.struct(F.lit(i).alias("cut"), r.cast("long").alias("rank")) for i, r in enumerate(cuts(F.col("n")))
+    ])
+    before = F.col("upto") - F.col("rows")
+    # at most one bin per class and cut
+    cut_bins = (
+        bins.withColumn("c", F.explode(ranks))
+        .where((F.col("c.rank") > before) & (F.col("c.rank") <= F.col("upto")))
+        .select("s", "bin", "c.cut", (F.col("c.rank") - before).alias("rank"))
+    )
+    marks = (
+        keyed.join(F.broadcast(cut_bins), ["s", "bin"])
+        .withColumn("rn", F.row_number().over(W.partitionBy("s", "cut").orderBy("p")))
+        .where(F.col("rn") == F.col("rank"))
+    )
+    found: dict[int, dict[int, tuple]] = {}
+    for row in marks.select("s", "cut", "p.h", "p.k").collect():
+        found.setdefault(row["s"], {})[row["cut"]] = (row["h"], row["k"])
+    return found
+
 
 def cut_by_hash(
     df: DataFrame,
     key: str,
-    cuts: Callable[[Column], list[Column]],
+    cuts: Cuts,
     names: list,
     label: str | None = None,
     seed: int | str = SEED,
@@ -31,43 +76,19 @@ def cut_by_hash(
     """Label rows by where their hash rank falls between the cut ranks.
 
     ``cuts`` maps the class row count to increasing ranks; a row belongs to the first name whose
-    cut it does not exceed. ``label`` is read as a yes/no flag, so there are at most three classes
-    (yes, no, missing) and every table built here besides the labelled rows is small.
+    cut it does not exceed. ``label`` is read as a yes/no flag.
     """
-    stratum = F.lit(0) if label is None else F.coalesce(F.col(label).cast("boolean").cast("int"), F.lit(-1))
-    position = F.struct(hash_text(seed, key).alias("h"), F.col(key).alias("k"))
-    keyed = df.select(stratum.alias("_s"), position.alias("_p")).withColumn("_bin", F.substring("_p.h", 1, 4))
-
-    by_class = W.partitionBy("_s")
-    bins = (
-        keyed.groupBy("_s", "_bin").agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_upto", F.sum("_rows").over(by_class.orderBy("_bin").rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_n", F.sum("_rows").over(by_class))
-    )
-    ranks = F.array(*[
-        F.struct(F.lit(i).alias("cut"), r.cast("long").alias("rank")) for i, r in enumerate(cuts(F.col("_n")))
-    ])
-    before = F.col("_upto") - F.col("_rows")
-    cut_bins = (
-        bins.withColumn("_c", F.explode(ranks))
-        .where((F.col("_c.rank") > before) & (F.col("_c.rank") <= F.col("_upto")))
-        .select("_s", "_bin", F.col("_c.cut").alias("_cut"), (F.col("_c.rank") - before).alias("_rank"))
-    )
-    in_bin = W.partitionBy("_s", "_cut").orderBy("_p")
-    marks = (
-        keyed.join(F.broadcast(cut_bins), ["_s", "_bin"])
-        .withColumn("_rn", F.row_number().over(in_bin))
-        .where(F.col("_rn") == F.col("_rank"))
-    )
-    n_cuts = len(names) - 1
-    thresholds = marks.groupBy("_s").agg(*[
-        F.max(F.when(F.col("_cut") == i, F.col("_p"))).alias(f"_t{i}") for i in range(n_cuts)
-    ])
-    labelled = df.withColumns({"_s": stratum, "_p": position}).join(F.broadcast(thresholds), "_s", "left")
-    choice = F.lit(names[-1])
-    for i in reversed(range(n_cuts)):
-        choice = F.when(F.col("_p") <= F.col(f"_t{i}"), F.lit(names[i])).otherwise(choice)
-    return labelled.withColumn(out, choice).drop("_s", "_p", *[f"_t{i}" for i in range(n_cuts)])
+    found = find_cuts(df, key, cuts, label, seed)
+    last = len(names) - 1
+    choice = F.lit(names[last])
+    for stratum, marks in found.items():
+        chain = F.lit(names[last])
+        for i in sorted(marks, reverse=True):
+            h, k = marks[i]
+            reached = F.col("_p") <= F.struct(F.lit(h).alias("h"), F.lit(k).alias("k"))
+            chain = F.when(reached, F.lit(names[i])).otherwise(chain)
+        choice = F.when(_stratum(label) == stratum, chain).otherwise(choice)
+    return df.withColumn("_p", _position(seed, key)).withColumn(out, choice).drop("_p")
 
 
 def _share(n: Column, numerator: int, denominator: int) -> Column:

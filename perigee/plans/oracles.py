@@ -342,7 +342,7 @@ FROM split WHERE split IN ('train', 'val')""",
     "fn4_log_to_km": f"{FEAT_} SELECT approach_id, round(exp(log_miss_distance) - 1, 2) AS km FROM feat",
     "fn5_zscore": _with(NEO, FEAT, SPLIT, "state AS (SELECT " + ", ".join(
         f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in CLF_FEATURES) + " FROM split WHERE split = 'train')")
-    + "SELECT approach_id, split, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 9) AS {c}" for c in CLF_FEATURES)
+    + "SELECT approach_id, split, " + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in CLF_FEATURES)
     + " FROM split, state",
     "fn6_rounding": f"""{FEAT_} SELECT approach_id, round(absolute_magnitude, 3) AS magnitude_3,
   round(log_relative_velocity, 4) AS velocity_4, round(log_miss_distance, 2) AS distance_2 FROM feat""",

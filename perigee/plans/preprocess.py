@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.functions.columns import flag_to_int, with_features
 from perigee.operators.balance import smote
 from perigee.operators.browse import drop_non_predictive, drop_superseded
-from perigee.operators.quality import expect_finite, expect_positive, null_counts, require
+from perigee.operators.quality import not_finite, not_positive, require, violations
 from perigee.operators.scaling import Scaler, fit_scaler
 from perigee.operators.splits import SEED, stratified_split
 from perigee.schema import CLF_FEATURES, CLF_TARGET, ENGINEERED, RAW_COLUMNS, REG_FEATURES, REG_TARGET
-from perigee.session import stable
 from perigee.sources.tables import load_splits, write_splits
 
 SPLIT_COLUMNS = ["task", "split", "row_key", "approach_id", "synthetic", "label", *CLF_FEATURES]
@@ -33,10 +32,12 @@ class Prepared:
         return load_splits(self.spark, self.path, task, split)
 
 
-def check_raw(approaches: DataFrame) -> None:
-    """Stop on missing values or non-positive minimum diameters."""
-    require(null_counts(approaches, RAW_COLUMNS).withColumn("ok", F.col("nulls") == 0))
-    require(expect_positive(approaches, ["est_diameter_min"]))
+def check_table(approaches: DataFrame) -> None:
+    """Stop on missing values, non-positive minimum diameters or features that are not finite."""
+    checks = {c: F.col(c).isNull() for c in RAW_COLUMNS}
+    checks["est_diameter_min"] = not_positive("est_diameter_min")
+    checks |= {c: not_finite(c) for c in [*ENGINEERED, "absolute_magnitude"]}
+    require(violations(with_features(approaches), checks))
 
 
 def modelling_table(approaches: DataFrame) -> DataFrame:
@@ -54,11 +55,22 @@ def feature_view(df: DataFrame, task: str, *keys: str) -> DataFrame:
     return df.select(*keys, *REG_FEATURES, REG_TARGET)
 
 
-def _split_rows(df: DataFrame, task: str, scaler: Scaler, label: str) -> DataFrame:
-    rows = scaler.transform(df.withColumn("label", F.col(label).cast("double")))
-    if task == "reg":
-        rows = rows.drop(REG_TARGET).withColumn(REG_TARGET, F.lit(None).cast("double"))
-    return rows.withColumn("task", F.lit(task)).select(*SPLIT_COLUMNS)
+def _store_row(task: str, scaler: Scaler, label: str) -> Column:
+    """One row of the split store; regression rows leave their target out of the features."""
+    skip = {REG_TARGET} if task == "reg" else set()
+    features = [
+        (F.lit(None).cast("double") if c in skip else scaler.scaled(c)).alias(c) for c in CLF_FEATURES
+    ]
+    return F.struct(
+        F.lit(task).alias("task"), "split", "row_key", "approach_id", "synthetic",
+        F.col(label).cast("double").alias("label"), *features,
+    )
+
+
+def _store_rows(df: DataFrame, *rows: Column) -> DataFrame:
+    """Several store rows per input row from one scan."""
+    wanted = F.filter(F.array(*rows), lambda r: r.isNotNull())
+    return df.select(F.explode(wanted).alias("r")).select("r.*").select(*SPLIT_COLUMNS)
 
 
 def prepare(approaches: DataFrame, path: str, seed: int = SEED, k: int = 5, scale_first: bool = False) -> Prepared:
@@ -67,21 +79,17 @@ def prepare(approaches: DataFrame, path: str, seed: int = SEED, k: int = 5, scal
     Balancing happens before scaling and only on the classification training rows; validation and
     test rows are scaled with the training state.
     """
-    check_raw(approaches)
-    table = modelling_table(approaches)
-    require(expect_finite(table, [*ENGINEERED, "absolute_magnitude"]))
-    split = stratified_split(table, CLF_TARGET, seed=seed).withColumns({
+    check_table(approaches)
+    split = stratified_split(modelling_table(approaches), CLF_TARGET, seed=seed).withColumns({
         "row_key": F.col("approach_id").cast("string"), "synthetic": F.lit(False),
     })
     train = split.where(F.col("split") == "train")
-    balanced = stable(smote(train, CLF_FEATURES, CLF_TARGET, k=k, seed=seed, scale_first=scale_first))
+    balanced = smote(train, CLF_FEATURES, CLF_TARGET, k=k, seed=seed, scale_first=scale_first)
     scaler_clf, scaler_reg = fit_scaler(balanced, CLF_FEATURES), fit_scaler(train, REG_FEATURES)
-    held_out = split.where(F.col("split") != "train")
-    store = (
-        _split_rows(balanced.withColumn("split", F.lit("train")), "clf", scaler_clf, CLF_TARGET)
-        .unionByName(_split_rows(held_out, "clf", scaler_clf, CLF_TARGET))
-        .unionByName(_split_rows(split, "reg", scaler_reg, REG_TARGET))
-    )
+    clf_row = _store_row("clf", scaler_clf, CLF_TARGET)
+    reg_row = _store_row("reg", scaler_reg, REG_TARGET)
+    store = _store_rows(balanced.withColumn("split", F.lit("train")), clf_row).unionByName(
+        _store_rows(split, F.when(F.col("split") != "train", clf_row), reg_row))
     write_splits(store, path)
     spark = approaches.sparkSession
     scaler_clf.save(spark, f"{path}-scaler-clf")

@@ -613,7 +613,7 @@ def fn4_log_to_km(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fn5_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = _split(spark, sf_dir)
     scaler = scaling.fit_scaler(split.where(F.col("split") == "train"), CLF_FEATURES)
-    return rounded(scaler.transform(split).select("approach_id", "split", *CLF_FEATURES))
+    return rounded(scaler.transform(split).select("approach_id", "split", *CLF_FEATURES), 6)
 
 
 @query

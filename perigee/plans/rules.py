@@ -9,9 +9,9 @@ from perigee.functions.columns import with_features
 
 # Rule name, score expression, decision threshold.
 CLASS_RULES = [
-    ("size", "least(1.0, floor(est_diameter_min * 500) / 250.0)", 0.16),
-    ("magnitude", "floor((33.2 - absolute_magnitude) * 10) / 240.0", 0.6),
-    ("speed", "floor(relative_velocity / 2400.0) / 100.0", 0.5),
+    ("size", "least(1e0, floor(est_diameter_min * 500) / 250e0)", 0.16),
+    ("magnitude", "floor((33.2 - absolute_magnitude) * 10) / 240e0", 0.6),
+    ("speed", "floor(relative_velocity / 2400e0) / 100e0", 0.5),
 ]
 # Rule name, predicted log distance.
 DISTANCE_RULES = [

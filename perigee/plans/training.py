@@ -51,6 +51,7 @@ class Settings:
     max_bins: int = 64
     max_iter: int = 1000
     fourier_terms: int = 100
+    kernel_iter: int = 100
     seed: int = SEED
 
 
@@ -91,7 +92,7 @@ def estimator(name: str, rows: int, settings: Settings, overrides: dict | None =
     elif name == KERNEL_CLASSIFIER:
         stage, columns = fourier_stage(features, s.fourier_terms, s.seed)
         before = [stage]
-        model = LinearSVC(weightCol="weight", maxIter=100, regParam=1.0 / max(rows, 1), standardization=False)
+        model = LinearSVC(weightCol="weight", maxIter=s.kernel_iter, regParam=1.0 / max(rows, 1), standardization=False)
     elif name == "LinearRegression":
         model = LinearRegression(solver="normal")
     elif name == "RandomForestRegressor":

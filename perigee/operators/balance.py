@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from perigee.functions.columns import hash_text, hash_uniform, hash_word
@@ -15,11 +16,9 @@ from perigee.session import stable
 def class_weights(df: DataFrame, label: str = "hazardous") -> DataFrame:
     """Balanced weight of each class: rows / (classes * rows of the class)."""
     counts = df.groupBy(F.col(label).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("rows"))
-    totals = counts.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("classes"))
+    classes = W.partitionBy()  # over the class rows only
     return counts.withColumn(
-        "weight",
-        totals.select("n").scalar() / (totals.select("classes").scalar() * F.col("rows")),
-    )
+        "weight", F.sum("rows").over(classes) / (F.count(F.lit(1)).over(classes) * F.col("rows")))
 
 
 def weight_column(df: DataFrame, label: str) -> Column:

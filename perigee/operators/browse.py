@@ -43,15 +43,10 @@ def safe(df: DataFrame) -> DataFrame:
     return df.where(~F.col("hazardous"))
 
 
-def by_ids(df: DataFrame, ids: list[int], key: str = "approach_id") -> DataFrame:
-    """First row of each id in table order; an id without rows is simply absent."""
+def first_per_id(df: DataFrame, key: str = "approach_id") -> DataFrame:
+    """First row of each id in table order. Every task keeps one row per id before the shuffle."""
     first = W.partitionBy("id").orderBy(key)
-    return (
-        df.where(F.col("id").isin(ids))
-        .withColumn("_n", F.row_number().over(first))
-        .where(F.col("_n") == 1)
-        .drop("_n")
-    )
+    return df.withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1).drop("_n")
 
 
 def by_id(df: DataFrame, wanted: int, key: str = "approach_id") -> DataFrame:
@@ -59,14 +54,11 @@ def by_id(df: DataFrame, wanted: int, key: str = "approach_id") -> DataFrame:
 
 
 def first_of_each(df: DataFrame, wanted: DataFrame, key: str = "approach_id") -> DataFrame:
-    """Lookup of many ids held in a table. The id table is reduced to distinct ids first."""
-    first = W.partitionBy("id").orderBy(key)
-    return (
-        df.join(wanted.select("id").distinct(), "id", "left_semi")
-        .withColumn("_n", F.row_number().over(first))
-        .where(F.col("_n") == 1)
-        .drop("_n")
-    )
+    """Lookup of many ids held in a table; an id without rows is simply absent.
+
+    Both sides are down to one row per id before they are joined, so a frequent id costs nothing.
+    """
+    return first_per_id(df, key).join(wanted.select("id").distinct(), "id", "left_semi")
 
 
 def search_name(df: DataFrame, query: str, literal: bool = False) -> DataFrame:

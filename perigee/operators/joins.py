@@ -66,10 +66,11 @@ def features_with_source(features: DataFrame, objects: DataFrame, spread: Column
     return salted_join(features, source, ["sourceNeoId"], spread)
 
 
-def orphan_features(features: DataFrame, objects: DataFrame) -> DataFrame:
+def orphan_features(features: DataFrame, objects: DataFrame, spread: Column) -> DataFrame:
     """Feature rows whose source id is not in the object table (a missing id is not an orphan)."""
-    ids = objects.select(F.col("id").alias("sourceNeoId"))
-    return features.where(F.col("sourceNeoId").isNotNull()).join(ids, "sourceNeoId", "left_anti")
+    known = objects.select(F.col("id").alias("sourceNeoId"), F.lit(True).alias("_known"))
+    linked = features.where(F.col("sourceNeoId").isNotNull())
+    return salted_join(linked, known, ["sourceNeoId"], spread).where(F.col("_known").isNull()).drop("_known")
 
 
 def align_rows(left: DataFrame, right: DataFrame, key: str = "approach_id") -> DataFrame:

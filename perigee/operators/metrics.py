@@ -104,11 +104,13 @@ def score_groups(pred: DataFrame) -> DataFrame:
 def auc_roc(pred: DataFrame) -> DataFrame:
     """Exact area under the ROC curve; tied scores count half."""
     cuts = range_cuts(pred, "score")
-    steps = running_sums(score_groups(pred), "score", {"neg_upto": "neg"}, cuts)
+    steps = running_sums(score_groups(pred), "score", {"neg_upto": "neg", "pos_upto": "pos"}, cuts)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     below = F.col("neg_upto").cast("double") - neg
     return steps.agg(
-        F.sum(pos * (below + neg / 2)).alias("wins"), F.sum(pos).alias("p"), F.sum(neg).alias("n")
+        F.sum(pos * (below + neg / 2)).alias("wins"),
+        F.max("pos_upto").cast("double").alias("p"),
+        F.max("neg_upto").cast("double").alias("n"),
     ).select(F.try_divide(F.col("wins"), F.col("p") * F.col("n")).alias("auc_roc"))
 
 

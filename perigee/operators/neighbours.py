@@ -43,14 +43,15 @@ _OWN = "vid long, leaf long, x array<double>, members array<long>, reach double,
 
 def distinct_vectors(points: DataFrame, key: str, features: list[str], keep: int) -> DataFrame:
     """One row per distinct vector: vid (smallest key), x, and its ``keep`` smallest keys."""
-    smallest = W.partitionBy(*features).orderBy(key)
+    same = W.partitionBy(*features)
     return (
         points.select(key, *features)
-        .withColumn("_n", F.row_number().over(smallest))
+        .withColumn("_n", F.row_number().over(same.orderBy(key)))
         .where(F.col("_n") <= keep)
-        .groupBy(*features)
-        .agg(F.min(key).alias("vid"), F.sort_array(F.collect_list(key)).alias("members"))
-        .select("vid", F.array(*[F.col(c).cast("double") for c in features]).alias("x"), "members")
+        .withColumn("members", F.sort_array(F.collect_list(key).over(same)))
+        .where(F.col("_n") == 1)
+        .select(
+            F.col(key).alias("vid"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"), "members")
     )
 
 

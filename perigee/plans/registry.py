@@ -147,16 +147,6 @@ def src5_load_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.load_splits(spark, _split_store(spark, sf_dir), "reg", ["val", "test"]))
 
 
-@query
-def snk5_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all approaches from the saved and reloaded models."""
-    state = lab(spark, sf_dir)
-    path = fresh_path(spark, "models")
-    state.scorer.save(path)
-    return Scorer.load(path).score(state.approaches).select(
-        "approach_id", "hazardous_predicted", "hazardous_probability", "miss_distance_km")
-
-
 @query
 def snk6_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = rules.class_rules(src.load_approaches(spark, sf_dir))
@@ -281,12 +271,6 @@ def dq7_check_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_scores(scored)
 
 
-@query
-def dq7_check_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = lab(spark, sf_dir)
-    return quality.check_scores(state.scorer.score(state.approaches))
-
-
 # --- joins -------------------------------------------------------------------
 
 
@@ -311,7 +295,7 @@ def jn1_features_with_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def jn1_orphan_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked, held = _linked_features(spark, sf_dir)
-    return joins.orphan_features(linked, held)
+    return joins.orphan_features(linked, held, F.col("approach_id"))
 
 
 @query
@@ -333,9 +317,10 @@ def jn4_new_and_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per object id of the whole table: is it already in the table of near, hazardous objects?"""
     a = src.load_approaches(spark, sf_dir)
     target = browse.hazardous(a).where(F.col("miss_distance") < 5000000.0).select("id").distinct()
-    new = a.join(target, "id", "left_anti").groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
-    known = a.join(target, "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
-    return new.withColumn("state", F.lit("new")).unionByName(known.withColumn("state", F.lit("known")))
+    objects_seen = a.groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    new = objects_seen.join(target, "id", "left_anti").withColumn("state", F.lit("new"))
+    known = objects_seen.join(target, "id", "left_semi").withColumn("state", F.lit("known"))
+    return new.unionByName(known)
 
 
 @query
@@ -674,6 +659,17 @@ def _held_out(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return training.predictions(state.model(name), state.rows(task, "val"), task)
 
 
+@query
+def ml8_train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation metrics of all six baselines."""
+    state = lab(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        tables.long_metrics(state.trained(t).table(spark), t, "val",
+                            training.CLF_METRICS if t == "clf" else training.REG_METRICS)
+        for t in ("clf", "reg")
+    ])
+
+
 @query
 def ml1_logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(spark, sf_dir, "LogisticRegression")
@@ -709,17 +705,6 @@ def ml7_boosted_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(spark, sf_dir, "GradientBoostingRegressor")
 
 
-@query
-def ml8_train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation metrics of all six baselines."""
-    state = lab(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [
-        tables.long_metrics(state.trained(t).table(spark), t, "val",
-                            training.CLF_METRICS if t == "clf" else training.REG_METRICS)
-        for t in ("clf", "reg")
-    ])
-
-
 @query
 def ml9_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and deviation over five folds for the two best models of each task."""
@@ -799,6 +784,22 @@ def ml15_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "approach_id", "hazardous_predicted", "hazardous_probability", "miss_distance_km")
 
 
+@query
+def dq7_check_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = lab(spark, sf_dir)
+    return quality.check_scores(state.scorer.score(state.approaches))
+
+
+@query
+def snk5_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all approaches from the saved and reloaded models."""
+    state = lab(spark, sf_dir)
+    path = fresh_path(spark, "models")
+    state.scorer.save(path)
+    return Scorer.load(path).score(state.approaches).select(
+        "approach_id", "hazardous_predicted", "hazardous_probability", "miss_distance_km")
+
+
 # --- streams --------------------------------------------------------------------------
 
 

@@ -57,7 +57,7 @@ def synthetic_rows(
     if wanted and minority_rows < 2:
         raise ValueError("at least two minority rows are needed")
     each, extra = divmod(wanted, max(minority_rows, 1))
-    minority = train.where(F.col(label).cast("int") == 1).select(key, *features)
+    minority = stable(train.where(F.col(label).cast("int") == 1).select(key, *features))
     base = cut_by_hash(
         minority, key, lambda n: [F.lit(extra)], [each + 1, each], seed=f"{seed}:extra", out="copies")
     scaler = fit_scaler(minority, features) if scale_first else None

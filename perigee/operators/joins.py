@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perigee.session import stable
+
 # A key with more rows than 1/HOT_SHARE of the table is hot, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1_000
 ROWS_PER_SALT = 1_000_000
@@ -22,28 +24,32 @@ def salted_join(
 ) -> DataFrame:
     """left/inner equi-join on ``keys`` where ``right`` holds each key once.
 
-    Hot left keys are found by a pre-aggregated count and cut into salts of about
-    ``rows_per_salt`` rows; only the matching right rows are repeated. Rows with a missing key match
-    nothing and are spread over fixed salts.
+    Hot left keys are looked for first, with a pre-aggregated count. Where there are none this is a
+    plain join. Otherwise each hot key is cut into salts of about ``rows_per_salt`` rows and only its
+    right row is repeated. Rows with a missing key match nothing and are spread over fixed salts.
     """
-    counts = left.where(~_missing(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    present = left.where(~_missing(keys))
     total = left.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = (
-        counts.where((F.col("_rows") > rows_per_salt) & (F.col("_rows") * hot_share > total))
+    hot = stable(
+        present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        .where((F.col("_rows") > rows_per_salt) & (F.col("_rows") * hot_share > total))
         .select(*keys, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
     )
-    salts = F.when(_missing(keys), F.lit(NULL_SALTS)).otherwise(F.coalesce(F.col("_salts"), F.lit(1)))
-    salted_left = (
-        left.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int"))
-        .drop("_salts")
-    )
-    salted_right = (
-        right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_salts")
-    )
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    if how == "inner":
+        left = present
+    if hot.isEmpty():
+        salts, right = F.lit(1), right.withColumn("_salt", F.lit(0))
+    else:
+        salts = F.coalesce(F.col("_salts"), F.lit(1))
+        left = left.join(F.broadcast(hot), keys, "left")
+        right = (
+            right.join(F.broadcast(hot), keys, "left")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+            .drop("_salts")
+        )
+    spread_over = F.when(_missing(keys), F.lit(NULL_SALTS)).otherwise(salts)
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), spread_over).cast("int")).drop("_salts")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def _missing(keys: list[str]) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from perigee.operators.joins import salted_join
 from perigee.session import stable
 
-LEAF_ROWS = 2_000
+LEAF_ROWS = 8_000
 MAX_LEAVES = 100_000
 FANOUT = 64
 VISITS_PER_TASK = 20_000
@@ -287,11 +287,11 @@ def nearest_neighbours(
     """Per row: its vector ``x`` and ``neighbours``, up to k (squared distance, key, vector), nearest first.
 
     Ties are broken by the smaller key. Fewer than k come back only where the table has fewer rows.
-    ``keep`` names further columns to carry along. The points are read several times, so they are
-    checkpointed first.
+    ``keep`` names further columns to carry along. The points are read several times: pass a
+    checkpointed table.
     """
     keep = keep or []
-    points = stable(points.select(key, *keep, *[F.col(c).cast("double").alias(c) for c in features]))
+    points = points.select(key, *keep, *[F.col(c).cast("double").alias(c) for c in features])
     vectors = stable(distinct_vectors(points, key, features, k + 1))
     near = nearest_vectors(vectors, len(features), k, leaf_rows)
     lists = near.select(*[F.col("x")[i].alias(c) for i, c in enumerate(features)], "x", "near")

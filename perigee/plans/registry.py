@@ -22,7 +22,7 @@ from perigee.plans.lab import lab
 from perigee.plans.preprocess import feature_view, modelling_table
 from perigee.plans.scoring import Scorer
 from perigee.schema import CLF_FEATURES, ENGINEERED, NUMERIC_COLUMNS, RAW_COLUMNS, REG_FEATURES
-from perigee.session import fresh_path
+from perigee.session import fresh_path, stable
 from perigee.sources import approaches as src
 from perigee.sources import tables
 from perigee.streaming.scoring import score_stream
@@ -52,7 +52,8 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _minority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(spark, sf_dir).where((F.col("split") == "train") & (F.col("hazardous") == 1))
+    rare = _split(spark, sf_dir).where((F.col("split") == "train") & (F.col("hazardous") == 1))
+    return stable(rare.select("approach_id", *CLF_FEATURES))
 
 
 # --- sources and sinks -------------------------------------------------------

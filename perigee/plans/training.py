@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -28,6 +29,7 @@ REGRESSORS = ["LinearRegression", "RandomForestRegressor", "GradientBoostingRegr
 KERNEL_CLASSIFIER = "SVC"
 CLF_METRICS = ["accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "auc_roc"]
 REG_METRICS = ["r2", "rmse_log", "mae_log", "rmse_km"]
+ROWS_PER_CORE = 10_000
 
 
 def features_of(task: str) -> list[str]:
@@ -113,14 +115,28 @@ def training_rows(df: DataFrame, task: str) -> DataFrame:
     return df.select(*CLF_FEATURES, "label", weight_column(df, "label").alias("weight"))
 
 
-def fit(name: str, task: str, train: DataFrame, settings: Settings, overrides: dict | None = None) -> PipelineModel:
-    rows = training_rows(train, task).persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def cached_rows(df: DataFrame, task: str) -> Iterator[tuple[DataFrame, int]]:
+    """Training rows held in memory or on disk for the passes of a fit, and their number.
+
+    A small table that came in fewer partitions than there are cores is spread over the cores.
+    """
+    rows, n = training_rows(df, task), df.count()
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_CORE))
+    if rows.rdd.getNumPartitions() < wanted:
+        rows = rows.repartition(wanted)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator(name, rows.count(), settings, overrides).fit(rows)
+        yield rows, n
     finally:
         rows.unpersist()
 
 
+def fit(name: str, task: str, train: DataFrame, settings: Settings, overrides: dict | None = None) -> PipelineModel:
+    with cached_rows(train, task) as (rows, n):
+        return estimator(name, n, settings, overrides).fit(rows)
+
+
 def predictions(model: PipelineModel, df: DataFrame, task: str) -> DataFrame:
     """label, prediction and score (probability of class 1, or the margin where the model has none)."""
     out = model.transform(df)
@@ -173,17 +189,13 @@ def metrics_table(spark: SparkSession, task: str, rows: list[dict]) -> DataFrame
 def train_and_score(task: str, train: DataFrame, val: DataFrame, settings: Settings, names: list[str] | None = None) -> Trained:
     """Fit every baseline, measure it on the validation rows and time the fit."""
     result = Trained(task)
-    rows = training_rows(train, task).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = rows.count()
+    with cached_rows(train, task) as (rows, n):
         for name in names or models_of(task):
             began = time.perf_counter()
             model = estimator(name, n, settings).fit(rows)
             seconds = round(time.perf_counter() - began, 2)
             result.models[name] = model
             result.metrics.append({"model": name, **evaluate(model, val, task), "train_time_s": seconds})
-    finally:
-        rows.unpersist()
     return result
 
 

@@ -89,7 +89,7 @@ def synthetic_rows(
     )
 
 
-def smote(
+def synthetic_training_rows(
     train: DataFrame,
     features: list[str],
     label: str = "hazardous",
@@ -99,16 +99,34 @@ def smote(
     scale_first: bool = False,
     leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
-    """Training rows plus synthetic minority rows, so that both classes are equally large.
+    """The synthetic rows with row_key, features, label and the synthetic flag.
 
-    The synthetic rows are checkpointed, so reading the result again does not repeat the search.
-    Columns: row_key, the row's own key (NULL for synthetic rows), features, label, synthetic.
+    They are checkpointed, so reading them again does not repeat the neighbour search.
     """
+    return stable(synthetic_rows(train, features, label, key, k, seed, scale_first, leaf_rows).select(
+        "row_key", *features, F.lit(1).alias(label), F.lit(True).alias("synthetic")
+    ))
+
+
+def with_synthetic(train: DataFrame, new: DataFrame, features: list[str], label: str, key: str) -> DataFrame:
+    """Training rows and synthetic rows in one table: row_key, key (NULL if synthetic), features, label, flag."""
     original = train.select(
         F.col(key).cast("string").alias("row_key"), key, *features,
         F.col(label).cast("int").alias(label), F.lit(False).alias("synthetic"),
     )
-    new = stable(synthetic_rows(train, features, label, key, k, seed, scale_first, leaf_rows).select(
-        "row_key", *features, F.lit(1).alias(label), F.lit(True).alias("synthetic")
-    ))
     return original.unionByName(new, allowMissingColumns=True)
+
+
+def smote(
+    train: DataFrame,
+    features: list[str],
+    label: str = "hazardous",
+    key: str = "approach_id",
+    k: int = 5,
+    seed: int = SEED,
+    scale_first: bool = False,
+    leaf_rows: int = LEAF_ROWS,
+) -> DataFrame:
+    """Training rows plus synthetic minority rows, so that both classes are equally large."""
+    new = synthetic_training_rows(train, features, label, key, k, seed, scale_first, leaf_rows)
+    return with_synthetic(train, new, features, label, key)

@@ -54,5 +54,22 @@ class Scaler:
 
 
 def fit_scaler(train: DataFrame, features: list[str]) -> Scaler:
-    rows = {r["column"]: r for r in scaler_table(train, features).collect()}
-    return Scaler(features, {c: rows[c]["mean"] for c in features}, {c: rows[c]["std"] for c in features})
+    return fit_scalers(train, {"all": (features, F.lit(True))})["all"]
+
+
+def fit_scalers(df: DataFrame, wanted: dict[str, tuple[list[str], Column]]) -> dict[str, Scaler]:
+    """Several scalers from one scan: name to (features, condition on the rows that count)."""
+    aggregates = []
+    for name, (features, rows) in wanted.items():
+        for c in features:
+            value = F.when(rows, F.col(c))
+            aggregates += [F.avg(value).alias(f"{name}__mean__{c}"), F.stddev_pop(value).alias(f"{name}__std__{c}")]
+    row = df.agg(*aggregates).first()
+    return {
+        name: Scaler(
+            features,
+            {c: row[f"{name}__mean__{c}"] for c in features},
+            {c: row[f"{name}__std__{c}"] for c in features},
+        )
+        for name, (features, _) in wanted.items()
+    }

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.functions.columns import flag_to_int, with_features
-from perigee.operators.balance import smote
+from perigee.operators.balance import synthetic_training_rows, with_synthetic
 from perigee.operators.browse import drop_non_predictive, drop_superseded
 from perigee.operators.quality import not_finite, not_positive, require, violations
-from perigee.operators.scaling import Scaler, fit_scaler
+from perigee.operators.scaling import Scaler, fit_scalers
 from perigee.operators.splits import SEED, stratified_split
 from perigee.schema import CLF_FEATURES, CLF_TARGET, ENGINEERED, RAW_COLUMNS, REG_FEATURES, REG_TARGET
 from perigee.sources.tables import load_splits, write_splits
@@ -69,8 +69,7 @@ def _store_row(task: str, scaler: Scaler, label: str) -> Column:
 
 def _store_rows(df: DataFrame, *rows: Column) -> DataFrame:
     """Several store rows per input row from one scan."""
-    wanted = F.filter(F.array(*rows), lambda r: r.isNotNull())
-    return df.select(F.explode(wanted).alias("r")).select("r.*").select(*SPLIT_COLUMNS)
+    return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*").select(*SPLIT_COLUMNS)
 
 
 def prepare(approaches: DataFrame, path: str, seed: int = SEED, k: int = 5, scale_first: bool = False) -> Prepared:
@@ -84,12 +83,16 @@ def prepare(approaches: DataFrame, path: str, seed: int = SEED, k: int = 5, scal
         "row_key": F.col("approach_id").cast("string"), "synthetic": F.lit(False),
     })
     train = split.where(F.col("split") == "train")
-    balanced = smote(train, CLF_FEATURES, CLF_TARGET, k=k, seed=seed, scale_first=scale_first)
-    scaler_clf, scaler_reg = fit_scaler(balanced, CLF_FEATURES), fit_scaler(train, REG_FEATURES)
+    new = synthetic_training_rows(train, CLF_FEATURES, CLF_TARGET, k=k, seed=seed, scale_first=scale_first)
+    scalers = fit_scalers(with_synthetic(train, new, CLF_FEATURES, CLF_TARGET, "approach_id"), {
+        "clf": (CLF_FEATURES, F.lit(True)),
+        "reg": (REG_FEATURES, ~F.col("synthetic")),
+    })
+    scaler_clf, scaler_reg = scalers["clf"], scalers["reg"]
     clf_row = _store_row("clf", scaler_clf, CLF_TARGET)
     reg_row = _store_row("reg", scaler_reg, REG_TARGET)
-    store = _store_rows(balanced.withColumn("split", F.lit("train")), clf_row).unionByName(
-        _store_rows(split, F.when(F.col("split") != "train", clf_row), reg_row))
+    new = new.withColumns({"split": F.lit("train"), "approach_id": F.lit(None).cast(split.schema["approach_id"].dataType)})
+    store = _store_rows(split, clf_row, reg_row).unionByName(_store_rows(new, clf_row))
     write_splits(store, path)
     spark = approaches.sparkSession
     scaler_clf.save(spark, f"{path}-scaler-clf")

@@ -17,6 +17,9 @@ def db():
     return connection
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def normal(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(repr(tuple(0.0 if isinstance(r[i], float) and r[i] == 0 else r[i] for i in order)) for r in rows)
@@ -31,7 +34,7 @@ def test_query_matches_sql(spark, db, name):
     df = QUERIES[name](spark, SF)
     result = db.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
-    assert sorted(df.columns) == sorted(columns)
+    assert sorted(df.dtypes) == sorted((d[0], TYPES.get(str(d[1]), str(d[1]))) for d in result.description)
     assert normal(df.columns, [tuple(r) for r in df.collect()]) == normal(columns, result.fetchall())
 
 

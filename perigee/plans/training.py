@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.operators.balance import weight_column
+from perigee.operators.balance import synthetic_training_rows, weight_column, with_synthetic
 from perigee.operators.metrics import auc_roc, classification_metrics, regression_metrics
 from perigee.operators.splits import SEED, kfold, stratified_kfold
 from perigee.schema import CLF_FEATURES, REG_FEATURES
@@ -252,6 +252,17 @@ def cross_validate(
     return spark.createDataFrame(rows, "model string, fold int, score double")
 
 
+def oversample_inside(k: int = 5, seed: int = SEED) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """A ``resample`` step: grow the kept rows of each fold, score real left-out rows only."""
+    def resample(kept: DataFrame, left_out: DataFrame) -> tuple[DataFrame, DataFrame]:
+        real = kept.where(~F.col("synthetic"))
+        new = synthetic_training_rows(real, CLF_FEATURES, "label", "approach_id", k, seed)
+        grown = with_synthetic(real, new, CLF_FEATURES, "label", "approach_id")
+        return grown, left_out.where(~F.col("synthetic"))
+
+    return resample
+
+
 def feature_importance(model: PipelineModel, task: str, spark: SparkSession) -> DataFrame:
     """Importance of each feature in a tree model, largest first."""
     tree = model.stages[-1]

@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from perigee.operators.metrics import cv_summary
-from perigee.plans import card, training, tuning
+from perigee.plans import card, export, training, tuning
 from perigee.plans.preprocess import prepare
 from perigee.plans.scoring import Scorer, score_valid
 from perigee.schema import CLF_FEATURES, REG_FEATURES, SCORING_INPUTS
 from perigee.session import fresh_path
+from perigee.sources.tables import long_metrics
 
 SMALL = training.Settings(
     forest_trees=5, cv_forest_trees=3, forest_depth=4, boosted_trees=3, max_iter=20, fourier_terms=20, kernel_iter=5)
@@ -68,10 +69,10 @@ def test_cross_validation_with_oversampled_and_plain_folds(prepared):
     train = prepared.load("clf", "train")
     scores = training.cross_validate("clf", train, ["LogisticRegression"], SMALL, k=3)
     assert scores.count() == 3 and cv_summary(scores).first()["cv_mean"] > 0.6
-    only_real = training.cross_validate(
-        "clf", train, ["LogisticRegression"], SMALL, k=3,
-        resample=lambda kept, left: (kept, left.where(~F.col("synthetic"))))
-    assert only_real.count() == 3
+    inside = training.cross_validate(
+        "clf", train.where(~F.col("synthetic")), ["LogisticRegression"], SMALL, k=2,
+        resample=training.oversample_inside())
+    assert inside.count() == 2 and cv_summary(inside).first()["cv_mean"] > 0.6
 
 
 def test_search_space_draws(spark):
@@ -118,6 +119,20 @@ def test_scorer_agrees_with_the_split_store(prepared, trained, scorer, approache
     assert both.where(F.abs(F.col("p") - F.col("hazardous_probability")) > 1e-3).isEmpty()
 
 
+def test_export_is_complete_and_scores_the_smoke_row(spark, trained, scorer):
+    root = fresh_path(spark, "artifacts")
+    made = card.model_card(
+        spark, ("RandomForestClassifier", scorer.classifier, {}, trained["clf"].metrics[1]),
+        ("LinearRegression", scorer.regressor, {}, trained["reg"].metrics[0]), "2024-01-01T00:00:00")
+    rows = long_metrics(trained["clf"].table(spark), "clf", "val", training.CLF_METRICS)
+    export.export_models(scorer, made, rows, root)
+    export.verify_artifacts(spark, root)
+    with pytest.raises(FileNotFoundError, match="scaler"):
+        export.verify_artifacts(spark, root, ["classifier", "scaler"])
+    row = export.smoke_test(spark, root).first()
+    assert 0 <= row["hazardous_probability"] <= 1 and row["miss_distance_km"] > 0
+
+
 def test_importance_and_card(spark, trained):
     forest = trained["clf"].models["RandomForestClassifier"]
     rows = training.feature_importance(forest, "clf", spark).collect()

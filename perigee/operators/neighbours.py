@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from perigee.operators.joins import salted_join
 from perigee.session import stable
 
-LEAF_ROWS = 8_000
+LEAF_ROWS = 2_000
+SINGLE_LEAF = 4
 MAX_LEAVES = 100_000
 FANOUT = 64
 VISITS_PER_TASK = 20_000
@@ -62,11 +63,14 @@ def _split_order(vectors: DataFrame, width: int) -> list[int]:
 
 
 def _grow_leaves(vectors: DataFrame, width: int, leaf_rows: int) -> tuple[DataFrame, int]:
-    """Add ``leaf``; a node's parent is leaf div FANOUT. Returns the table and the tree depth."""
+    """Add ``leaf``; a node's parent is leaf div FANOUT. Returns the table and the tree depth.
+
+    A table of up to SINGLE_LEAF leaves stays whole: searching it beats building a tree.
+    """
     total = vectors.count()
     target = max(leaf_rows, -(-total // MAX_LEAVES))
     tree, depth = vectors.withColumn("leaf", F.lit(0).cast("long")), 0
-    if total <= target:
+    if total <= SINGLE_LEAF * leaf_rows:
         return tree, depth
     fractions = [i / FANOUT for i in range(1, FANOUT)]
     for position in _split_order(vectors, width):
@@ -216,6 +220,8 @@ def _visits(own: DataFrame, boxes: DataFrame, width: int, depth: int, k: int) ->
             .groupBy(F.floor(F.col("child") / FANOUT).cast("long").alias("node"))
             .agg(F.collect_list(F.struct("child", "lo", "hi")).alias("children"))
         )
+        # the distance test runs inside the array filter: as a join condition it makes the generated
+        # method too large to be compiled
         walk = (
             walk.join(F.broadcast(children), "node")
             .withColumn("c", F.explode(F.filter(

@@ -1,8 +1,10 @@
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perigee.functions.columns import flag_to_int, humanise, parse_bool, probability_band, with_features
+from perigee.schema import RAW_COLUMNS
 from perigee.sources.approaches import normalize_columns, read_raw
 
 
@@ -58,6 +60,13 @@ def test_csv_with_padded_header_and_text_flags(spark, tmp_path):
     assert (row["id"], row["name"], row["sentry_object"], row["hazardous"]) == (7, "(2000 SS1)", False, True)
 
 
+def test_csv_with_a_further_column(spark, approaches, tmp_path):
+    key = T.StructType([T.StructField("approach_id", T.LongType())])
+    approaches.select(*RAW_COLUMNS, "approach_id").write.option("header", True).csv(str(tmp_path / "a"))
+    back = read_raw(spark, str(tmp_path / "a"), extra=key)
+    assert back.exceptAll(approaches.select(*RAW_COLUMNS, "approach_id")).isEmpty() and back.count() == 1000
+
+
 def test_malformed_csv_stops_the_job(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text("id,name,a,b,c,d,e,f,g,h\nx,(2000 SS1),0.1,0.2,100.5,2000.25,Earth,False,20.1,TRUE\n")

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from perigee.llm.bpe import op3_bpe
+from perigee.llm.pii import op2_pii
 from perigee.llm.quality import op5_quality
+from perigee.llm.secrets import op10_secrets
 from perigee.llm.tokens import op9_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op5_quality": op5_quality,
     "op9_token_counts": op9_token_counts,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}

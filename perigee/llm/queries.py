@@ -11,8 +11,10 @@ from perigee.llm.pii import op2_pii
 from perigee.llm.quality import op5_quality
 from perigee.llm.secrets import op10_secrets
 from perigee.llm.tokens import op9_token_counts
+from perigee.llm.warc import op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op5_quality": op5_quality,

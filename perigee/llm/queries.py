@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from perigee.llm.bpe import op3_bpe
 from perigee.llm.chat import op8_chat
+from perigee.llm.decontaminate import op4_decontamination
 from perigee.llm.neardup import op6_near_duplicates
 from perigee.llm.pii import op2_pii
 from perigee.llm.quality import op5_quality
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_chat": op8_chat,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from perigee.llm.bpe import op3_bpe
 from perigee.llm.chat import op8_chat
 from perigee.llm.decontaminate import op4_decontamination
+from perigee.llm.extract import op7_extract
 from perigee.llm.neardup import op6_near_duplicates
 from perigee.llm.pii import op2_pii
 from perigee.llm.quality import op5_quality
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_extract": op7_extract,
     "op8_chat": op8_chat,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,

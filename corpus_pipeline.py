@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from perigee.llm.bpe import digest_documents
+from perigee.llm.common import table
+from perigee.llm.decontaminate import drop_contaminated
+from perigee.llm.neardup import keep_one
 from perigee.llm.quality import keep_good
+from perigee.llm.secrets import redact
 from perigee.session import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    # rejected documents go
     ("quality_rules", lambda spark, docs, sf_dir: keep_good(docs)),
+    # one document of each group of near copies stays
+    ("near_duplicates", lambda spark, docs, sf_dir: keep_one(docs)),
+    # documents that hold a benchmark item go
+    ("decontamination", lambda spark, docs, sf_dir: drop_contaminated(docs, table(spark, sf_dir, "benchmark"))),
+    # secrets are replaced by marks
+    ("secret_scans", lambda spark, docs, sf_dir: redact(docs)),
+    # counts and digests of what is left
     ("bpe_encode_decode", lambda spark, docs, sf_dir: digest_documents(docs)),
 ]
 

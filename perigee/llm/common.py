@@ -85,3 +85,8 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     whose methods would grow too long for the JIT compiler here.
     """
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def packed(df: DataFrame, *needed: Column) -> DataFrame:
+    """Whole rows as the struct `row`, beside the needed columns: helper columns can't clash with the rows' own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *needed)

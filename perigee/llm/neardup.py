@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm.common import map_rows, table
+from perigee.llm.common import map_rows, packed, table
 from perigee.session import stable
 
 #: Words of a shingle, least similarity in percent.
@@ -300,8 +300,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of docs, all columns, that near_duplicates keeps."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    kept = near_duplicates(docs.select("doc_id", "text")).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = packed(docs, F.col("doc_id").cast("long").alias("own_id"))
+    return rows.join(kept.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

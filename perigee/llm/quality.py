@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm.common import let, table
+from perigee.llm.common import let, packed, table
 from perigee.session import stable
 
 #: Frequent words of each language that has a reference of its own.
@@ -199,7 +199,8 @@ def quality(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """Rows of docs, all columns, that quality() keeps; texts are measured twice and never shuffled."""
     reference = references(stable(measured(docs.select("text", "lang")).select(_Q)))
-    return judged(measured(docs), reference).filter(f"{_V}.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = packed(docs, F.col("text"), F.col("lang"))
+    return judged(measured(rows), reference).filter(f"{_V}.kept").select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

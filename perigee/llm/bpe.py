@@ -16,7 +16,6 @@ import json
 import os
 import re
 import unicodedata
-from array import array
 
 import ahocorasick
 import numpy as np
@@ -45,6 +44,20 @@ def unassigned() -> re.Pattern:
     return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + "]")
 
 
+def latin_pattern(pattern: str) -> str:
+    """The split pattern for texts below U+0100, where the classes are short enough for the faster module."""
+    marks = {"\\p{L}": "L", "\\p{N}": "N", "\\s": "Z"}
+    members: dict[str, str] = {}
+    for mark, first in marks.items():
+        inside = [c for c in map(chr, range(256)) if unicodedata.category(c).startswith(first)]
+        if first == "Z":
+            inside += map(chr, [*range(9, 14), 0x85])
+        members[mark] = "".join(map(re.escape, inside))
+    for mark, inside in members.items():
+        pattern = pattern.replace(mark, inside)
+    return pattern
+
+
 class BacktrackingEncoder:
     """Exact encoder and decoder of a word BPE file with an end-of-word suffix."""
 
@@ -68,6 +81,7 @@ class BacktrackingEncoder:
         specials = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.id_of = {symbols(t): i for t, i in vocab.items() if t not in specials}
         self.length = {i: len(s) for s, i in self.id_of.items()}
+        self.most = max(self.length.values())
         self.text_of = {i: s for s, i in self.id_of.items()}
         self.rank_of: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
@@ -79,22 +93,26 @@ class BacktrackingEncoder:
             if whole not in self.parts:
                 self.parts[whole], self.rank[whole] = (vocab[left], vocab[right]), rank
         self.matches = ahocorasick.Automaton()
-        for s, i in self.id_of.items():
+        self.longest: dict[str, int] = {}  # of each state of the automaton, the longest token that begins its string
+        for s, i in sorted(self.id_of.items(), key=lambda x: len(x[0])):
             self.matches.add_word(s, i)
+            for n in range(1, len(s)):
+                self.longest.setdefault(s[:n], self.longest.get(s[: n - 1], -1))
+            self.longest[s] = i
         self.matches.make_automaton()
         self.shorter: dict[int, int] = {}
         self.compatible: dict[tuple[int, int], bool] = {}
         self.path = path
-        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.split = regex.compile(pattern)
+        self.split_latin = re.compile(latin_pattern(pattern))
         self.specials = specials
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else None
-        # decoding: text of token i is joined[offsets[i]:offsets[i + 1]]
+        # decoding: text of token i and the blank after it is joined[offsets[i]:offsets[i + 1]]
         names = {i: t for t, i in vocab.items()} | {i: t for t, i in specials.items()}
-        texts = [names.get(i, "").encode() for i in range(max(names) + 1)]
-        self.offsets = array("q", [0])
-        for t in texts:
-            self.offsets.append(self.offsets[-1] + len(t))
-        self.joined = b"".join(texts)
+        texts = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
+        self.offsets = np.cumsum([0, *map(len, texts)])
+        self.joined = np.frombuffer(b"".join(texts), np.uint8)
         self.words = _Words(self)
 
     def _shorter(self, token: int) -> int:
@@ -131,23 +149,24 @@ class BacktrackingEncoder:
             else:
                 before, b = rb + 1, self.parts[b][0]
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
+    def _longest(self, text: str, at: int) -> int:
+        ahead = text[at : at + self.most]
+        return self.longest[ahead[: self.matches.longest_prefix(ahead)]]
+
+    def encode_word(self, word: str) -> list[int]:
         raw = word.encode()
         text = raw[:-1].decode("latin-1") + chr(raw[-1] + 256)
         n = len(text)
-        longest = [-1] * n
-        for end, token in self.matches.iter(text):
-            longest[end - self.length[token] + 1] = token
         alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token = 0, self._longest(text, 0)
         while at < n:
             while True:
                 end = at + self.length[token]
                 if alive[end] and (not out or self._pair(out[-1], token)):
                     out.append(token)
                     at = end
-                    token = longest[at] if at < n else -1
+                    token = self._longest(text, at) if at < n else -1
                     break
                 token = self._shorter(token)
                 if token < 0:
@@ -155,7 +174,7 @@ class BacktrackingEncoder:
                     token = out.pop()
                     at -= self.length[token]
                     break
-        return tuple(out)
+        return out
 
     @functools.cached_property
     def _library(self):
@@ -164,42 +183,50 @@ class BacktrackingEncoder:
         return Tokenizer.from_file(self.path)
 
     def _split(self, text: str) -> list[str]:
-        if not text.isascii() and unassigned().search(text):  # the library may know these code points
+        # Lower case is taken one character at a time, so no final sigma.
+        plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        try:
+            plain.encode("latin-1")
+            return self.split_latin.findall(plain)
+        except UnicodeEncodeError:
+            pass
+        if not text.replace("\n", " ").isprintable() and unassigned().search(text):  # the library may know these code points
             text = self._library.normalizer.normalize_str(text)
             return [text[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(text)]
-        # Lower case is taken one character at a time, so no final sigma.
-        return self.split.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        return self.split.findall(plain)
 
-    def _plain(self, text: str) -> list[int]:
-        out: list[int] = []
-        for ids in map(self.words.__getitem__, self._split(text)):
-            out.extend(ids)
-        return out
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self._split(text)))
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a whole text as little-endian unsigned 32-bit integers."""
         if self.special_split is None or not any(s in text for s in self.specials):
-            return self._plain(text)
-        out: list[int] = []
-        for k, part in enumerate(self.special_split.split(text)):
-            out.extend([self.specials[part]] if k % 2 else self._plain(part))
-        return out
+            return np.frombuffer(self._plain(text), "<u4")
+        parts = [np.array([self.specials[p]], "<u4").tobytes() if k % 2 else self._plain(p)
+                 for k, p in enumerate(self.special_split.split(text))]
+        return np.frombuffer(b"".join(parts), "<u4")
 
-    def decode(self, ids: list[int]) -> bytes:
-        joined, offsets = self.joined, self.offsets
-        return b" ".join([joined[offsets[i] : offsets[i + 1]] for i in ids])
+    def decode(self, ids: np.ndarray) -> bytes:
+        """UTF-8 of the decoded text: the tokens' texts with blanks between them."""
+        ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return b""
+        starts, sizes = self.offsets[ids], self.offsets[ids + 1] - self.offsets[ids]
+        ends = np.cumsum(sizes)
+        return self.joined[np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)].tobytes()[:-1]
 
 
 class _Words(dict):
-    """Ids of the words seen last."""
+    """Ids, as bytes, of the words seen last."""
 
     def __init__(self, encoder: BacktrackingEncoder):
         super().__init__()
         self.encoder = encoder
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         if len(self) > REMEMBERED:
             self.clear()
-        ids = self.encoder.encode_word(word)
+        ids = np.array(self.encoder.encode_word(word), "<u4").tobytes()
         if len(word) <= 64:
             self[word] = ids
         return ids
@@ -217,7 +244,7 @@ def encode_documents(docs: DataFrame, path: str = WORD_BPE, text: str = "text",
 
         def work(columns):
             ids = [encoder.encode(t or "") for t in columns[1]]
-            return {"key": columns[0], "ids": ids, "decoded": [encoder.decode(i) for i in ids]}
+            return {"key": columns[0], "ids": [i.tolist() for i in ids], "decoded": [encoder.decode(i) for i in ids]}
 
         return work
 
@@ -236,7 +263,7 @@ def digest_documents(docs: DataFrame, path: str = WORD_BPE) -> DataFrame:
             for text in columns[1]:
                 ids = encoder.encode(text or "")
                 out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(sha256(np.array(ids, "<u4").tobytes()))
+                out["ids_sha256"].append(sha256(ids.tobytes()))
                 out["decoded_sha256"].append(sha256(encoder.decode(ids)))
             return out
 

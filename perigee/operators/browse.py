@@ -15,9 +15,6 @@ PAGE_LIMIT_DEFAULT = 100
 SEARCH_LIMIT_MAX = 500
 SEARCH_LIMIT_DEFAULT = 50
 
-# Beyond this offset a page is found by the rank of its first key.
-NEAR_OFFSET = 10_000
-
 
 def _bounded(name: str, value: int, low: int, high: int | None = None) -> int:
     if value < low or (high is not None and value > high):
@@ -71,7 +68,7 @@ def search_name(df: DataFrame, query: str, literal: bool = False) -> DataFrame:
     if literal:
         hit = F.contains(F.lower("name"), F.lit(query.lower()))
     else:
-        hit = F.col("name").rlike(f"(?i){query}")
+        hit = F.col("name").rlike(f"(?iu){query}")
     return df.where(F.coalesce(hit, F.lit(False)))
 
 
@@ -90,23 +87,55 @@ def page(
     limit: int = PAGE_LIMIT_DEFAULT,
     offset: int = 0,
     key: str = "approach_id",
-    near_offset: int = NEAR_OFFSET,
+    tie: str | None = None,
 ) -> DataFrame:
-    """Rows [offset, offset + limit) in key order with the table's total row count.
+    """Rows [offset, offset + limit) in the order of key, then tie, NULL first, with the table's row count.
 
-    Near offsets use the top-n sort. A far page starts at the key of rank ``offset``, found
-    without a global sort, and reads only from there.
+    The page starts at the row of rank ``offset``, found without a global sort: the key of that rank, then among
+    the rows of that key the tie-breaker of the remaining rank. Only rows from there on are sorted, as a top-n.
+    key and tie together should be unique; rows that agree in both may come in any order among themselves.
     """
     _bounded("limit", limit, 1, PAGE_LIMIT_MAX)
     _bounded("offset", offset, 0)
     total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
-    if offset <= near_offset:
-        rows = df.orderBy(key).offset(offset).limit(limit) if offset else df.orderBy(key).limit(limit)
+    rest, skip = _from_rank(df, offset, [key, *([tie] if tie else [])])
+    order = [F.asc_nulls_first(c) for c in ([key, tie] if tie else [key])]
+    return rest.orderBy(*order).offset(skip).limit(limit).withColumn("total", total)
+
+
+def _from_rank(df: DataFrame, rank: int, keys: list[str]) -> tuple[DataFrame, int]:
+    """Rows from the one of this rank on (and those that tie with it), and how many of them come before the rank."""
+    if rank == 0:
+        return df, 0
+    key, after = keys[0], keys[1:]
+    column = F.col(key)
+    n, nulls = df.agg(F.count(F.lit(1)), F.count_if(column.isNull())).first()
+    if rank >= n:
+        return df.limit(0), 0
+    if rank < nulls:
+        same, later, before = column.isNull(), column.isNotNull(), 0
     else:
-        found, _ = select_ranks(df, [key], lambda n: [offset])
-        start = found.first()[0] if found.columns else None
-        rows = df.where(F.col(key) >= F.lit(start)).orderBy(key).limit(limit) if start is not None else df.limit(0)
-    return rows.withColumn("total", total)
+        found, _ = select_ranks(df.where(column.isNotNull()), [key], lambda _: [rank - nulls])
+        start = found.first()[0]
+        same, later = column == F.lit(start), column > F.lit(start)
+        before = nulls + df.where(column < F.lit(start)).count()
+    if not after:
+        return df.where(same | later), rank - before
+    inside, skip = _from_rank(df.where(same), rank - before, after)
+    return inside.unionByName(df.where(later)), skip
+
+
+def search_envelope(
+    df: DataFrame, query: str, limit: int = SEARCH_LIMIT_DEFAULT, literal: bool = False, key: str = "approach_id"
+) -> DataFrame:
+    """The search as one row: query, total, count and the records (at most ``limit``), also where nothing matches."""
+    _bounded("limit", limit, 1, SEARCH_LIMIT_MAX)
+    matches = search_name(df, query, literal)
+    total = matches.agg(F.count(F.lit(1)).alias("total")).scalar()
+    record = F.struct(key, *[c for c in df.columns if c != key])
+    found = matches.orderBy(key).limit(limit).agg(
+        F.count(F.lit(1)).alias("count"), F.sort_array(F.collect_list(record)).alias("data"))
+    return found.select(F.lit(query).alias("query"), total.alias("total"), "count", "data")
 
 
 def page_after(df: DataFrame, last_key: int | None, limit: int = PAGE_LIMIT_DEFAULT, key: str = "approach_id") -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from perigee.session import stable
 
-# A key with more rows than 1/HOT_SHARE of the table is hot, so there are fewer than HOT_SHARE hot keys.
-HOT_SHARE = 1_000
 ROWS_PER_SALT = 1_000_000
+# Hot keys that are broadcast; there are fewer than a millionth of the rows of them.
+BROADCAST_KEYS = 100_000
 NULL_SALTS = 256
 
 
@@ -19,31 +19,31 @@ def salted_join(
     keys: list[str],
     spread: Column,
     how: str = "left",
-    hot_share: int = HOT_SHARE,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """left/inner equi-join on ``keys`` where ``right`` holds each key once.
 
-    Hot left keys are looked for first, with a pre-aggregated count. Where there are none this is a
+    Hot left keys (more than ``rows_per_salt`` rows) are looked for first, with a pre-aggregated count. Where there are none this is a
     plain join. Otherwise each hot key is cut into salts of about ``rows_per_salt`` rows and only its
     right row is repeated. Rows with a missing key match nothing and are spread over fixed salts.
     """
     present = left.where(~_missing(keys))
-    total = left.agg(F.count(F.lit(1)).alias("n")).scalar()
     hot = stable(
         present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .where((F.col("_rows") > rows_per_salt) & (F.col("_rows") * hot_share > total))
+        .where(F.col("_rows") > rows_per_salt)
         .select(*keys, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
     )
     if how == "inner":
         left = present
-    if hot.isEmpty():
+    n_hot = hot.limit(BROADCAST_KEYS + 1).count()
+    if not n_hot:
         salts, right = F.lit(1), right.withColumn("_salt", F.lit(0))
     else:
         salts = F.coalesce(F.col("_salts"), F.lit(1))
-        left = left.join(F.broadcast(hot), keys, "left")
+        side = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+        left = left.join(side, keys, "left")
         right = (
-            right.join(F.broadcast(hot), keys, "left")
+            right.join(side, keys, "left")
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
             .drop("_salts")
         )

@@ -193,7 +193,7 @@ def regression_metrics(pred: DataFrame, by: list[str] | None = None) -> DataFram
     """R2, RMSE and MAE in log space and RMSE in kilometres, from one pass.
 
     The total sum of squares is the population variance times the row count, so no second pass
-    over the mean is needed.
+    over the mean is needed. For a constant label R2 is 1 where every prediction is right, else 0.
     """
     by = by or []
     y, p = F.col("label"), F.col("prediction")
@@ -205,7 +205,8 @@ def regression_metrics(pred: DataFrame, by: list[str] | None = None) -> DataFram
         F.avg(km * km).alias("mse_km"),
     ).select(
         *by,
-        (1 - F.try_divide(F.col("mse"), F.col("spread"))).alias("r2"),
+        F.when(F.col("spread") > 0, 1 - F.try_divide(F.col("mse"), F.col("spread")))
+        .when(F.col("mse") == 0, 1.0).when(F.col("mse").isNotNull(), 0.0).alias("r2"),
         F.sqrt("mse").alias("rmse_log"),
         "mae_log",
         F.sqrt("mse_km").alias("rmse_km"),

@@ -9,7 +9,7 @@
    walking down the box tree with equi-joins on the node number.
 5. The candidates of all visited leaves are merged per vector.
 
-The leaf count is bounded by MAX_LEAVES, so the tree tables that are broadcast are bounded as well.
+The tables of cuts and boxes are broadcast where their rows are counted and few, else joined by node number.
 Leaf work is numpy over one leaf at a time.
 """
 
@@ -28,9 +28,9 @@ from perigee.operators.joins import salted_join
 from perigee.session import stable
 
 LEAF_ROWS = 2_000
-SINGLE_LEAF = 4
-MAX_LEAVES = 100_000
 FANOUT = 64
+BROADCAST_NODES = 100_000  # larger tables of cuts and boxes are joined by node number
+MAX_DEPTH = 8  # node numbers stay exact as doubles
 VISITS_PER_TASK = 20_000
 DISTANCE_CELLS = 2_000_000
 SLACK = 1.0 + 1e-9
@@ -62,43 +62,53 @@ def _split_order(vectors: DataFrame, width: int) -> list[int]:
     return sorted(range(width), key=lambda i: -(row[i] or 0.0))
 
 
+def _few(nodes: DataFrame, rows: int) -> DataFrame:
+    """A table of tree nodes, to be broadcast if it has few rows."""
+    return F.broadcast(nodes) if rows <= BROADCAST_NODES else nodes
+
+
 def _grow_leaves(vectors: DataFrame, width: int, leaf_rows: int) -> tuple[DataFrame, int]:
     """Add ``leaf``; a node's parent is leaf div FANOUT. Returns the table and the tree depth.
 
-    A table of up to SINGLE_LEAF leaves stays whole: searching it beats building a tree.
+    Features are cut in turn, again and again, until every leaf holds at most ``leaf_rows`` vectors; vectors are
+    distinct, so some feature can always cut. MAX_DEPTH levels are enough for more vectors than a long can number.
     """
-    total = vectors.count()
-    target = max(leaf_rows, -(-total // MAX_LEAVES))
     tree, depth = vectors.withColumn("leaf", F.lit(0).cast("long")), 0
-    if total <= SINGLE_LEAF * leaf_rows:
-        return tree, depth
     fractions = [i / FANOUT for i in range(1, FANOUT)]
-    for position in _split_order(vectors, width):
+    order = _split_order(vectors, width)
+    uncut = 0
+    while uncut < len(order) and depth < MAX_DEPTH:
+        position = order[0]
+        order = [*order[1:], position]
         value = F.col("x")[position]
-        parts = F.least(F.lit(FANOUT), F.ceil(F.col("rows") / target)).cast("int")
+        parts = F.least(F.lit(FANOUT), F.ceil(F.col("rows") / leaf_rows)).cast("int")
         nodes = (
             tree.groupBy("leaf")
-            .agg(F.count(F.lit(1)).alias("rows"), F.percentile_approx(value, fractions, 1000).alias("fine"))
-            .where(F.col("rows") > target)
+            .agg(F.count(F.lit(1)).alias("rows"), F.percentile_approx(value, fractions, 1000).alias("fine"),
+                 F.min(value).alias("lo"), F.max(value).alias("hi"))
+            .where((F.col("rows") > leaf_rows) & (F.col("lo") < F.col("hi")))
         )
-        # fewer than total / target nodes are too large, each with at most FANOUT - 1 cuts
+        # the largest value never is a cut, so that a cut always leaves something on its right
         cuts = stable(nodes.select(
             "leaf",
-            F.array_distinct(F.transform(
+            F.transform(F.array_distinct(F.transform(
                 F.sequence(F.lit(1), parts - 1),
                 lambda i: F.element_at("fine", F.floor(i * FANOUT / parts).cast("int")),
-            )).alias("cuts"),
+            )), lambda c: F.when(c < F.col("hi"), c).otherwise(F.col("lo"))).alias("cuts"),
         ))
-        if cuts.isEmpty():
-            break
+        n_cuts = cuts.count()
+        if not n_cuts:
+            uncut += 1
+            continue
+        uncut = 0
         child = F.coalesce(F.size(F.filter("cuts", lambda c: c < value)), F.lit(0))
-        tree = (
-            tree.join(F.broadcast(cuts), "leaf", "left")
+        tree = stable(
+            tree.join(_few(cuts, n_cuts), "leaf", "left")
             .withColumn("leaf", F.col("leaf") * FANOUT + child)
             .drop("cuts")
         )
         depth += 1
-    return stable(tree), depth
+    return (tree if depth else stable(tree)), depth
 
 
 def _nearest(
@@ -197,14 +207,14 @@ def _far_bound(boxes: DataFrame, width: int, depth: int, k: int) -> DataFrame:
     )
 
 
-def _visits(own: DataFrame, boxes: DataFrame, width: int, depth: int, k: int) -> DataFrame:
+def _visits(own: DataFrame, boxes: DataFrame, leaves: int, width: int, depth: int, k: int) -> DataFrame:
     """(vector, other leaf) pairs whose box is within the vector's reach."""
     x = F.col("x")
     corner = [F.greatest(F.abs(x[i] - F.col("far_lo")[i]), F.abs(x[i] - F.col("far_hi")[i])) for i in range(width)]
     farthest = sum((c * c for c in corner), F.lit(0.0))
     walk = (
         own.select("vid", "x", "reach", "leaf")
-        .join(F.broadcast(_far_bound(boxes, width, depth, k)), "leaf", "left")
+        .join(_few(_far_bound(boxes, width, depth, k), leaves), "leaf", "left")
         .withColumn("reach", F.least("reach", F.coalesce(farthest * SLACK, F.lit(float("inf")))))
         .drop("far_lo", "far_hi")
         .withColumnRenamed("leaf", "home")
@@ -223,7 +233,7 @@ def _visits(own: DataFrame, boxes: DataFrame, width: int, depth: int, k: int) ->
         # the distance test runs inside the array filter: as a join condition it makes the generated
         # method too large to be compiled
         walk = (
-            walk.join(F.broadcast(children), "node")
+            walk.join(_few(children, min(FANOUT**level, leaves)), "node")
             .withColumn("c", F.explode(F.filter(
                 "children", lambda c: _near(c, F.col("x"), width) <= F.col("reach") * SLACK
             )))
@@ -233,20 +243,20 @@ def _visits(own: DataFrame, boxes: DataFrame, width: int, depth: int, k: int) ->
     return walk.where(F.col("node") != F.col("home")).select("vid", "x", "reach", F.col("node").alias("leaf"))
 
 
-def _visit_leaves(visits: DataFrame, tree: DataFrame, k: int) -> DataFrame:
+def _visit_leaves(visits: DataFrame, tree: DataFrame, leaves: int, k: int) -> DataFrame:
     """Search every visited leaf. A leaf with many visitors is repeated over several tasks."""
     load = visits.groupBy("leaf").agg(
         F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).cast("int").alias("salts")
     )
-    visitors = visits.join(F.broadcast(load), "leaf").withColumn(
+    visitors = visits.join(_few(load, leaves), "leaf").withColumn(
         "salt", F.pmod(F.xxhash64("vid"), F.col("salts")).cast("int")
     ).drop("salts")
-    leaves = tree.join(F.broadcast(load), "leaf").withColumn(
+    searched = tree.join(_few(load, leaves), "leaf").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
     ).select("leaf", "salt", "vid", "x", "members")
     return (
         visitors.groupBy("leaf", "salt")
-        .cogroup(leaves.groupBy("leaf", "salt"))
+        .cogroup(searched.groupBy("leaf", "salt"))
         .applyInPandas(_visited_leaf(k), _HIT)
     )
 
@@ -260,14 +270,17 @@ def nearest_vectors(vectors: DataFrame, width: int, k: int, leaf_rows: int = LEA
     own = tree.groupBy("leaf").applyInPandas(_own_leaf(k), _OWN)
     if depth:
         own = stable(own)
-        visits = stable(_visits(own, _boxes(tree, width), width, depth, k))
-        elsewhere = _visit_leaves(visits, tree, k)
+        boxes = stable(_boxes(tree, width))
+        leaves = boxes.count()
+        visits = stable(_visits(own, boxes, leaves, width, depth, k))
+        elsewhere = _visit_leaves(visits, tree, leaves, k)
         found = (
             own.select("vid", F.explode("hits").alias("h")).select("vid", "h.*")
             .unionByName(elsewhere)
+            .withColumn("_n", F.row_number().over(W.partitionBy("vid").orderBy("d2", "other")))
+            .where(F.col("_n") <= k)  # each task keeps k per vector before the shuffle
             .groupBy("vid")
-            .agg(F.slice(F.sort_array(F.collect_list(
-                F.struct("d2", "other", "other_x", "other_members"))), 1, k).alias("hits"))
+            .agg(F.sort_array(F.collect_list(F.struct("d2", "other", "other_x", "other_members"))).alias("hits"))
         )
         own = own.drop("hits").join(found, "vid", "left")
     itself = F.transform("members", lambda m: F.struct(
@@ -298,6 +311,8 @@ def nearest_neighbours(
     """
     keep = keep or []
     points = points.select(key, *keep, *[F.col(c).cast("double").alias(c) for c in features])
+    if not points.where(F.greatest(*[F.col(c).isNull().cast("int") for c in features], F.lit(0)) == 1).isEmpty():
+        raise ValueError("features must not be NULL: such rows have no neighbours")
     vectors = stable(distinct_vectors(points, key, features, k + 1))
     near = nearest_vectors(vectors, len(features), k, leaf_rows)
     lists = near.select(*[F.col("x")[i].alias(c) for i, c in enumerate(features)], "x", "near")

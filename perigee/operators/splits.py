@@ -23,10 +23,12 @@ Cuts = Callable[[Column], list[Column]]
 
 
 def _stratum(label: str | None) -> Column:
-    """1, 0 or -1 (missing): at most three classes whatever the table holds."""
+    """1, 0 or -1 (missing); any other label is an error, as it would be mixed into one of these classes."""
     if label is None:
         return F.lit(0)
-    return F.coalesce(F.col(label).cast("boolean").cast("int"), F.lit(-1))
+    value = F.col(label).cast("int")
+    other = F.raise_error(F.concat(F.lit("labels must be 0 or 1, found "), value.cast("string"))).cast("int")
+    return F.when(value.isNull(), -1).when(value.isin(0, 1), value).otherwise(other)
 
 
 def _position(seed: int | str, key: str) -> Column:

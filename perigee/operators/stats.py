@@ -30,7 +30,9 @@ def dataset_stats(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles and max per numeric column."""
+    """count, mean, sample std, min, exact quartiles and max per numeric column; NULL and NaN are left out of all."""
+    real = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c, t in df.dtypes if c in columns and t in ("double", "float")}
+    df = df.select(*columns).withColumns(real) if real else df
     fields = {"count": "long", "mean": "double", "std": "double", "min": "double", "max": "double"}
     aggregates = []
     for c in columns:

@@ -232,7 +232,7 @@ SELECT 'clf' AS task, model, 'all' AS split, metric, round(value, 9) AS value FR
   WHERE id IN (SELECT id FROM neo WHERE hazardous)) x WHERE rn = 1""",
     "flt4_search_name": f"{NEO_} SELECT approach_id, id, name FROM neo WHERE regexp_matches(name, '201[0-4] .q', 'i')",
     "flt4_search_name_literal": f"{NEO_} SELECT approach_id, id, name FROM neo WHERE contains(lower(name), '(2003 d')",
-    "dq1_expect_shape": f"{NEO_} SELECT count(*) AS row_count, cast(10 AS bigint) AS column_count, count(*) = 10000 AS ok FROM neo",
+    "dq1_expect_shape": f"{NEO_} SELECT count(*) AS row_count, cast(10 AS bigint) AS column_count, count(*) = (SELECT count(*) FROM events) AS ok FROM neo",
     "dq2_null_counts": NEO_ + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM neo" for c in RAW_COLUMNS),
     "dq3_expect_positive": f"""{NEO_} SELECT 'est_diameter_min' AS "column", count(*) FILTER (NOT est_diameter_min > 0) AS violations,
@@ -322,6 +322,8 @@ UNION ALL SELECT 0.0, 0.0, cast('inf' AS double)""",
     "lim1_page": NEO_ + _page("true", 50, 150),
     "lim1_page_hazardous": NEO_ + _page("hazardous", 100, 20),
     "lim1_far_page": NEO_ + _page("true", 100, 700),
+    "lim1_page_by_repeating_key": f"""{NEO_} SELECT approach_id, {RAW}, total FROM (SELECT *, count(*) OVER () AS total FROM neo) x
+ORDER BY id, approach_id LIMIT 50 OFFSET 333""",
     "lim1_page_after": f"{NEO_} SELECT approach_id, {RAW} FROM neo WHERE approach_id > 420 ORDER BY approach_id LIMIT 100",
     "lim1_page_envelope": f"""{NEO_} SELECT max(total) AS total, 60 AS "offset", 30 AS "limit", count(*) AS count,
   string_agg(cast(approach_id AS varchar), ',' ORDER BY approach_id) AS ids
@@ -330,7 +332,11 @@ FROM (SELECT *, count(*) OVER () AS total FROM neo ORDER BY approach_id LIMIT 30
     "lim2_tail": f"{NEO_} SELECT approach_id, {RAW} FROM neo ORDER BY approach_id DESC LIMIT 5",
     "lim3_top_hazardous": f"{NEO_} SELECT approach_id, {RAW} FROM neo WHERE hazardous ORDER BY approach_id LIMIT 5",
     "lim4_search": f"""{NEO_} SELECT approach_id, id, name, total FROM (SELECT *, count(*) OVER () AS total FROM neo
-  WHERE regexp_matches(name, '2010 .Y', 'i')) x ORDER BY approach_id LIMIT 50""",
+  WHERE regexp_matches(name, '2010 .p', 'i')) x ORDER BY approach_id LIMIT 50""",
+    "lim4_search_envelope": f"""{NEO_} SELECT '2010 .p' AS query, max(total) AS total, count(*) AS count,
+  coalesce(string_agg(cast(approach_id AS varchar), ',' ORDER BY approach_id), '') AS ids FROM (SELECT *, count(*) OVER () AS total FROM neo
+  WHERE regexp_matches(name, '2010 .p', 'i') ORDER BY approach_id LIMIT 5) x
+UNION ALL SELECT 'no such name', count(*), count(*), coalesce(string_agg(name, ','), '') FROM neo WHERE regexp_matches(name, 'no such name', 'i')""",
     "set1_train_and_val": f"""{SPLIT_} SELECT approach_id, split, {_round(CLF_FEATURES)}, cast(hazardous AS int) AS hazardous
 FROM split WHERE split IN ('train', 'val')""",
     "set2_originals_and_synthetic": f"""{SMOTE_} SELECT hazardous, synthetic, count(*) AS rows, count(approach_id) AS with_source FROM (

@@ -65,6 +65,7 @@ def src1_read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = src.raw_view(src.load_approaches(spark, sf_dir))
     text = raw.withColumns({c: F.initcap(F.col(c).cast("string")) for c in ("sentry_object", "hazardous")})
     path = fresh_path(spark, "raw-csv")
+    text = text.select(*reversed(text.columns))  # read_raw goes by name
     text.toDF(*[f" {c.upper()} " for c in text.columns]).write.option("header", True).csv(path)
     return src.read_raw(spark, path)
 
@@ -222,7 +223,8 @@ def flt4_search_name_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq1_expect_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.expect_shape(src.raw_view(src.load_approaches(spark, sf_dir)), 10_000, 10)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # one approach per event
+    return quality.expect_shape(src.raw_view(src.load_approaches(spark, sf_dir)), events, 10)
 
 
 @query
@@ -518,7 +520,14 @@ def lim1_page_hazardous(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lim1_far_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = src.load_approaches(spark, sf_dir).select("approach_id", *RAW_COLUMNS)
-    return browse.page(rows, 100, 700, near_offset=500)
+    return browse.page(rows, 100, 700)
+
+
+@query
+def lim1_page_by_repeating_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page in the order of object ids, which repeat; approach ids break the ties."""
+    rows = src.load_approaches(spark, sf_dir).select("approach_id", *RAW_COLUMNS)
+    return browse.page(rows, 50, 333, key="id", tie="approach_id")
 
 
 @query
@@ -550,7 +559,16 @@ def lim3_top_hazardous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lim4_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return browse.search(src.load_approaches(spark, sf_dir).select("approach_id", "id", "name"), "2010 .Y")
+    return browse.search(src.load_approaches(spark, sf_dir).select("approach_id", "id", "name"), "2010 .p")
+
+
+@query
+def lim4_search_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search with more matches than its limit and one without any, as one row each."""
+    rows = src.load_approaches(spark, sf_dir).select("approach_id", "id", "name")
+    found = [browse.search_envelope(rows, q, 5) for q in ("2010 .p", "no such name")]
+    both = found[0].unionByName(found[1])
+    return both.select("query", "total", "count", F.concat_ws(",", F.transform("data", lambda r: r["approach_id"].cast("string"))).alias("ids"))
 
 
 # --- set operations --------------------------------------------------------------

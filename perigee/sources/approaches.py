@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,28 +16,41 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "csv", extra: T.StructType | None = None) -> DataFrame:
-    """Approach table with its declared types; a malformed CSV row stops the job.
+    """Approach table with its declared types; a malformed CSV row or value stops the job.
 
-    Boolean columns arrive as text in CSV files and go through parse_bool. ``extra`` names
-    columns beyond the standard ten, in file order after them.
+    CSV columns are found by their trimmed, lower-case names, in whatever order they stand; missing, doubled and
+    unknown names are errors, and so is a file whose header differs from the first one's. ``extra`` names columns
+    beyond the standard ten. Boolean columns arrive as text and go through parse_bool.
     """
     if fmt != "csv":
         return normalize_columns(spark.read.format(fmt).load(path))
     fields = list(RAW_SCHEMA) + (list(extra) if extra else [])
-    flags = [f.name for f in fields if isinstance(f.dataType, T.BooleanType)]
-    text_schema = T.StructType([
-        T.StructField(f.name, T.StringType() if f.name in flags else f.dataType, True) for f in fields
-    ])
-    df = (
-        spark.read.schema(text_schema)
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    found = [c.strip().lower() for c in header]
+    wanted = [f.name for f in fields]
+    if sorted(found) != sorted(wanted):
+        raise ValueError(f"columns must be {sorted(wanted)}, found {sorted(found)}")
+    text = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in header]))
         .option("header", True)
         .option("mode", "FAILFAST")
-        .option("enforceSchema", True)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
+        .option("enforceSchema", False)
         .csv(path)
+        .toDF(*found)
     )
-    return normalize_columns(df).withColumns({c: parse_bool(c) for c in flags})
+    return text.select(*[_typed(f).alias(f.name) for f in fields])
+
+
+def _typed(field: T.StructField) -> Column:
+    """A text column as its declared type; text that isn't of the type is an error, not NULL."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, T.StringType):
+        return value
+    if isinstance(field.dataType, T.BooleanType):
+        return parse_bool(field.name)
+    typed = F.trim(value).try_cast(field.dataType)
+    wrong = F.raise_error(F.concat(F.lit(f"{field.name}: "), value)).cast(field.dataType)
+    return F.when(value.isNotNull() & typed.isNull(), wrong).otherwise(typed)
 
 
 def approaches_from_events(events: DataFrame) -> DataFrame:

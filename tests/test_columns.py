@@ -76,3 +76,27 @@ def test_malformed_csv_stops_the_job(spark, tmp_path):
 
 def test_normalize_columns(spark):
     assert normalize_columns(spark.range(1).select(F.lit(1).alias("  Ab_C "))).columns == ["ab_c"]
+
+
+HEADER = "name,id,est_diameter_min,est_diameter_max,miss_distance,relative_velocity,orbiting_body,sentry_object,absolute_magnitude,hazardous"
+LINE = " (2000 SS1) ,2,0.1,0.2,14500000,48000,Earth,False,20.1,TRUE"
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER.upper()}\n{LINE}\n")
+    row = read_raw(spark, str(tmp_path / "a.csv")).first()
+    assert (row["id"], row["name"], row["relative_velocity"], row["miss_distance"]) == (2, " (2000 SS1) ", 48000.0, 14500000.0)
+
+
+@pytest.mark.parametrize("header", [HEADER.replace("name", "label"), HEADER.replace("name", "id"), HEADER.replace(",hazardous", "")], ids=["unknown", "doubled", "missing"])
+def test_csv_with_wrong_names(spark, tmp_path, header):
+    (tmp_path / "a.csv").write_text(f"{header}\n{LINE}\n")
+    with pytest.raises(ValueError, match="columns must be"):
+        read_raw(spark, str(tmp_path / "a.csv"))
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{LINE}\n")
+    (tmp_path / "b.csv").write_text(f"{HEADER.replace('miss_distance,relative_velocity', 'relative_velocity,miss_distance')}\n{LINE}\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(tmp_path)).collect()

@@ -104,3 +104,18 @@ def test_cv_summary_uses_population_deviation(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0)], "model string, score double")
     row = m.cv_summary(df).first()
     assert (row["cv_mean"], row["cv_std"]) == (2.0, 1.0)
+
+
+def test_r2_of_a_constant_label(spark):
+    from perigee.operators.metrics import regression_metrics
+
+    rows = [("right", 2.0, 2.0), ("right", 2.0, 2.0), ("wrong", 2.0, 2.5), ("wrong", 2.0, 2.0)]
+    got = regression_metrics(spark.createDataFrame(rows, "model string, label double, prediction double"), ["model"])
+    assert {r["model"]: r["r2"] for r in got.collect()} == {"right": 1.0, "wrong": 0.0}
+
+
+def test_describe_leaves_nan_out(spark):
+    from perigee.operators.stats import describe
+
+    got = describe(spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double"), ["x"]).first()
+    assert (got["count"], got["mean"], got["min"], got["p50"], got["max"]) == (2, 2.0, 1.0, 2.0, 3.0)

@@ -99,3 +99,21 @@ def test_class_weights(approaches):
     n = rows[0]["rows"] + rows[1]["rows"]
     for label in (0, 1):
         assert rows[label]["weight"] == pytest.approx(n / (2 * rows[label]["rows"]))
+
+
+def test_one_varying_feature_gives_small_leaves(spark):
+    n = 5000
+    df = spark.range(n).select(F.col("id").alias("vid"), F.array(F.lit(1.0), F.sqrt("id"), F.lit(2.0)).alias("x"), F.array("id").alias("members"))
+    tree, depth = nb._grow_leaves(df, 3, 20)
+    sizes = [r["count"] for r in tree.groupBy("leaf").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 20 and depth >= 2
+    rng = np.random.default_rng(7)
+    x = np.zeros((400, 3))
+    x[:, 1] = rng.normal(size=400)
+    compare(spark, np.arange(400), x, 5, 16)
+
+
+def test_missing_features_are_refused(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, 2.0)], "id long, f double")
+    with pytest.raises(ValueError, match="NULL"):
+        nb.nearest_neighbours(df, "id", ["f"], 1)

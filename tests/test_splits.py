@@ -56,3 +56,22 @@ def test_scaler_uses_population_deviation(spark, tmp_path):
     assert Scaler.load(spark, str(tmp_path / "s"), ["x", "c"]) == scaler
     sql = df.selectExpr(*scaler.sql_expressions().values())
     assert [tuple(r) for r in sql.collect()] == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_other_labels_are_refused(spark):
+    import pytest
+
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "approach_id long, hazardous int")
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        stratified_split(df).collect()
+
+
+def test_published_split_sizes(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(90_836).select(F.col("id").alias("approach_id"), (F.col("id") < 8_840).alias("hazardous"))
+    got = {(r["split"], r["hazardous"]): r["count"] for r in stratified_split(df).groupBy("split", "hazardous").count().collect()}
+    rows = {s: got[s, True] + got[s, False] for s in ("train", "val", "test")}
+    assert sum(rows.values()) == 90_836
+    assert all(abs(rows[s] - n) <= 1 for s, n in {"train": 63_585, "val": 13_625, "test": 13_626}.items())
+    assert got["val", True] == 1_326 and got["test", True] == 1_326

@@ -16,8 +16,10 @@ def last_per_key(batch: DataFrame, seq: str, key: str = "id") -> DataFrame:
 def upsert(target: DataFrame, batch: DataFrame, seq: str, key: str = "id") -> DataFrame:
     """Target after the batch: known keys take all columns of the batch's last row, new keys are added."""
     fresh = last_per_key(batch, seq, key).select(*target.columns)
-    kept = target.join(fresh.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(fresh)
+    # one pass over both sides: a full join by key, where the batch's row wins
+    pair = target.select(key, F.struct(*target.columns).alias("old")).join(
+        fresh.select(key, F.struct(*target.columns).alias("new")), key, "full_outer")
+    return pair.select(F.coalesce("new", "old").alias("row")).select("row.*")
 
 
 def snapshot_path(root: str, version: int) -> str:
@@ -31,5 +33,13 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> str:
     return path
 
 
+def latest_version(spark: SparkSession, root: str) -> int:
+    """The last version whose write was completed, 0 if there is none."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/version=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return max((int(f.getPath().getParent().getName().partition("=")[2]) for f in found), default=0)
+
+
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(snapshot_path(root, version))

@@ -20,18 +20,20 @@ from perigee.plans.training import (
     metrics_table,
     train_and_score,
 )
-from perigee.session import fresh_path
+from perigee.plans.tuning import BOOSTED_SPACE, Param, hyper_search
+from perigee.session import fresh_path, stable
 from perigee.sources.approaches import load_approaches
 
-# Smaller ensembles than the baseline defaults keep the registered queries short; the rows are all used.
-QUERY_SETTINGS = Settings(forest_trees=20, cv_forest_trees=20, forest_depth=8, boosted_trees=20, kernel_iter=20)
+# The registered search: small boosted regressors and few trials, as each of 50 full trials takes minutes.
+SEARCH_TRIALS = 4
+SEARCH_SPACE = [Param("n_estimators", "int", 5, 15), Param("max_depth", "int", 3, 5), *BOOSTED_SPACE[2:]]
 
 
 @dataclass
 class Lab:
     spark: SparkSession
     sf_dir: str
-    settings: Settings = QUERY_SETTINGS
+    settings: Settings = field(default_factory=Settings)
     _models: dict[str, PipelineModel] = field(default_factory=dict)
 
     @cached_property
@@ -78,6 +80,14 @@ class Lab:
         table = self.test_table(task)
         return select_best(table, selection_score() if task == "clf" else table["r2"]).first()["model"]
 
+    space = SEARCH_SPACE
+
+    @cached_property
+    def trials(self) -> DataFrame:
+        return stable(hyper_search(
+            "GradientBoostingRegressor", "reg", self.rows("reg", "train"), self.rows("reg", "val"),
+            self.settings, self.space, n=SEARCH_TRIALS))
+
     @cached_property
     def scorer(self) -> Scorer:
         p = self.prepared

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from perigee.plans.training import CLASSIFIERS, REGRESSORS
 from perigee.plans.rules import CLASS_RULES, DISTANCE_RULES
 from perigee.schema import CLASS_NAMES, CLF_FEATURES, ENGINEERED, NUMERIC_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, REG_FEATURES
 
@@ -366,4 +367,36 @@ FROM split WHERE split IN ('train', 'val')""",
     "bal2_class_weights": f"""{NEO_} SELECT cast(hazardous AS int) AS label, count(*) AS rows,
   round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 9) AS weight FROM neo GROUP BY hazardous""",
     "str2_upsert_stream": f"{_with(NEO, _LAST)} SELECT approach_id, {RAW} FROM last",
+    **{name: f"""{SPLIT_} SELECT '{model}' AS model, count(*) AS rows, count(*) FILTER (hazardous) AS positives, true AS in_range,
+  true AS consistent, true AS beats_chance FROM split WHERE split = 'val'""" for name, model in (
+        ("ml1_logistic_regression", "LogisticRegression"), ("ml2_random_forest_classifier", "RandomForestClassifier"),
+        ("ml3_boosted_classifier", "GradientBoostingClassifier"), ("ml4_kernel_classifier", "SVC"))},
+    **{name: f"""{SPLIT_} SELECT '{model}' AS model, count(*) AS rows, round(sum(log_miss_distance), 6) AS label_sum, true AS finite,
+  true AS beats_mean FROM split WHERE split IN ({splits})""" for name, model, splits in (
+        ("ml6_random_forest_regressor", "RandomForestRegressor", "'train'"),
+        ("ml7_boosted_regressor", "GradientBoostingRegressor", "'train'"),
+        ("ml11_refit_on_trainval", "GradientBoostingRegressor", "'train', 'val'"))},
+    "ml5_linear_regression": SPLIT_ + " UNION ALL ".join(
+        f"SELECT '{c}' AS term, count(*) AS rows, cast(0 AS double) AS moment FROM split WHERE split = 'train'" for c in ("intercept", *REG_FEATURES)),
+    **{name: SPLIT_ + " UNION ALL ".join(
+        f"SELECT '{task}' AS task, '{m}' AS model, count(*) AS rows, cast(0 AS double) AS difference FROM split WHERE split = '{split}'"
+        for task, models in (("clf", CLASSIFIERS), ("reg", REGRESSORS)) for m in models)
+       for name, split in (("ml8_train_and_score", "val"), ("ml12_evaluate_on_test", "test"))},
+    "ml9_cross_validate": f"""{SPLIT_} SELECT 'clf' AS task, cast(2 AS bigint) AS models, cast(10 AS bigint) AS fits,
+  2 * count(*) FILTER (NOT hazardous) AS rows, true AS possible FROM split WHERE split = 'train'
+UNION ALL SELECT 'reg', 2, 10, count(*), true FROM split WHERE split = 'train'""",
+    "ml10_hyper_search": f"""{SPLIT_} SELECT cast(4 AS bigint) AS trials, count(*) AS rows, true AS inside, true AS measured,
+  true AS best_found FROM split WHERE split = 'val'""",
+    "ml13_feature_importance": f"SELECT cast({len(CLF_FEATURES)} AS bigint) AS features, cast(1 AS double) AS total, true AS nonnegative",
+    "ml14_model_card": "SELECT true AS names, true AS classifier_metric, true AS regressor_metric",
+    "ml14_metric_summary": " UNION ALL ".join(
+        f"SELECT '{t}' AS task, '{m}' AS metric, cast(0 AS double) AS difference" for t, m in (
+            ("Classification", "F1 (weighted)"), ("Classification", "AUC-ROC"), ("Regression", "R2"),
+            ("Regression", "RMSE (log)"), ("Regression", "RMSE (km)"))),
+    **{name: f"""{NEO_} SELECT count(*) AS rows, count(DISTINCT approach_id) AS keys, true AS in_range, true AS consistent,
+  true AS positive_distance, true AS same FROM neo""" for name in ("ml15_score", "snk5_save_load_model")},
+    "str1_score_stream": f"""{NEO_} SELECT count(*) FILTER (approach_id % 50 <> 0) AS rows, count(DISTINCT approach_id) FILTER (approach_id % 50 <> 0) AS keys,
+  true AS in_range, true AS consistent, true AS positive_distance, true AS same, count(*) FILTER (approach_id % 50 = 0) AS refused FROM neo""",
+    "dq7_check_model_scores": f"""{NEO_} SELECT count(*) AS rows_checked, cast(0 AS bigint) AS bad_probability,
+  cast(0 AS bigint) AS bad_distance, true AS ok FROM neo""",
 }

@@ -17,7 +17,7 @@ from perigee.functions.columns import (
     with_features,
 )
 from perigee.operators import balance, browse, joins, metrics, neighbours, objects, quality, ranking, scaling, splits, stats
-from perigee.plans import card, rules, training, tuning
+from perigee.plans import card, checks, rules, training, tuning
 from perigee.plans.lab import lab
 from perigee.plans.preprocess import feature_view, modelling_table
 from perigee.plans.scoring import Scorer
@@ -671,108 +671,122 @@ def bal2_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- models ---------------------------------------------------------------------------
 
 
-def _held_out(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Validation predictions of one fitted model."""
+def _classifier(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fitted classifier over all validation rows."""
     state = lab(spark, sf_dir)
-    task = "reg" if name in training.REGRESSORS else "clf"
-    return training.predictions(state.model(name), state.rows(task, "val"), task)
+    return checks.classifier_holds(state.model(name), state.rows("clf", "val"), name)
 
 
-@query
-def ml8_train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation metrics of all six baselines."""
+def _regressor(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fitted regressor over all rows it was fitted on."""
+    state = lab(spark, sf_dir)
+    return checks.regressor_holds(state.model(name), state.rows("reg", "train"), name)
+
+
+def _published(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """Published metrics of all six baselines next to those recomputed from their predictions."""
     state = lab(spark, sf_dir)
+    told = {t: state.trained(t).metrics if split == "val" else state.test_metrics[t] for t in ("clf", "reg")}
     return reduce(DataFrame.unionByName, [
-        tables.long_metrics(state.trained(t).table(spark), t, "val",
-                            training.CLF_METRICS if t == "clf" else training.REG_METRICS)
-        for t in ("clf", "reg")
-    ])
+        checks.published_difference(state.model(m["model"]), state.rows(t, split), t, m) for t in told for m in told[t]])
+
+
+@query
+def ml8_train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation metrics of all six baselines, recomputed."""
+    return _published(spark, sf_dir, "val")
 
 
 @query
 def ml1_logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, "LogisticRegression")
+    return _classifier(spark, sf_dir, "LogisticRegression")
 
 
 @query
 def ml2_random_forest_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, "RandomForestClassifier")
+    return _classifier(spark, sf_dir, "RandomForestClassifier")
 
 
 @query
 def ml3_boosted_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, "GradientBoostingClassifier")
+    return _classifier(spark, sf_dir, "GradientBoostingClassifier")
 
 
 @query
 def ml4_kernel_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, training.KERNEL_CLASSIFIER)
+    return _classifier(spark, sf_dir, training.KERNEL_CLASSIFIER)
 
 
 @query
 def ml5_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, "LinearRegression")
+    """Normal equations of the linear fit over all rows it was fitted on."""
+    state = lab(spark, sf_dir)
+    return checks.least_squares_holds(state.model("LinearRegression"), state.rows("reg", "train"))
 
 
 @query
 def ml6_random_forest_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, "RandomForestRegressor")
+    return _regressor(spark, sf_dir, "RandomForestRegressor")
 
 
 @query
 def ml7_boosted_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out(spark, sf_dir, "GradientBoostingRegressor")
+    return _regressor(spark, sf_dir, "GradientBoostingRegressor")
 
 
 @query
 def ml9_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean and deviation over five folds for the two best models of each task."""
+    """Five folds of the two best models of each task: what was fitted, and whether all scores are possible ones."""
     state = lab(spark, sf_dir)
     out = []
     for task, metric in (("clf", "f1_weighted"), ("reg", "r2")):
         table = state.trained(task).table(spark)
         names = [r["model"] for r in ranking.top_models(table, F.col(metric), 2).orderBy("rank").collect()]
         scores = training.cross_validate(task, state.rows(task, "train"), names, state.settings)
-        out.append(metrics.cv_summary(scores).withColumn("task", F.lit(task)))
+        rows = state.rows(task, "train").count()
+        out.append(scores.agg(
+            F.lit(task).alias("task"), F.count_distinct("model").alias("models"), F.count(F.lit(1)).alias("fits"),
+            F.lit(rows).cast("long").alias("rows"), F.bool_and((F.col("score") <= 1.0) & ~F.isnan("score")).alias("possible")))
     return out[0].unionByName(out[1])
 
 
 @query
 def ml10_hyper_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four trials of a search over small boosted regressors."""
+    """A search of a few trials over small boosted regressors: parameters inside their ranges, best trial found."""
     state = lab(spark, sf_dir)
-    space = [
-        tuning.Param("n_estimators", "int", 5, 15), tuning.Param("max_depth", "int", 3, 5), *tuning.BOOSTED_SPACE[2:],
-    ]
-    return tuning.hyper_search(
-        "GradientBoostingRegressor", "reg", state.rows("reg", "train"), state.rows("reg", "val"),
-        state.settings, space, n=4)
+    trials, space = state.trials, state.space
+    inside = reduce(lambda x, y: x & y, [F.col(p.name).between(p.low, p.high) for p in space])
+    best = tuning.best_trial(trials, "reg")
+    least = trials.agg(F.min("value")).first()[0]
+    won = trials.where(F.col("value") == least).select(*best).collect()
+    return trials.agg(
+        F.count(F.lit(1)).alias("trials"), F.lit(state.rows("reg", "val").count()).cast("long").alias("rows"),
+        F.bool_and(inside).alias("inside"), F.bool_and(F.col("value") > 0).alias("measured"),
+        F.lit(any(r.asDict() == best for r in won)).alias("best_found"))
 
 
 @query
 def ml11_refit_on_trainval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test predictions of a forest refitted on train plus validation."""
+    """The winner of the search, refitted on train plus validation, over all rows it was fitted on."""
     state = lab(spark, sf_dir)
-    params = {"n_estimators": 20, "max_depth": 8, "min_samples_split": 4, "min_samples_leaf": 1, "max_features": "sqrt"}
+    train, val = state.rows("reg", "train"), state.rows("reg", "val")
     model = tuning.refit_on_trainval(
-        "RandomForestClassifier", "clf", state.rows("clf", "train"), state.rows("clf", "val"), state.settings, params)
-    return training.predictions(model, state.rows("clf", "test"), "clf")
+        "GradientBoostingRegressor", "reg", train, val, state.settings, tuning.best_trial(state.trials, "reg"))
+    return checks.regressor_holds(model, train.unionByName(val), "GradientBoostingRegressor")
 
 
 @query
 def ml12_evaluate_on_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = lab(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [
-        tables.long_metrics(state.test_table(t), t, "test",
-                            training.CLF_METRICS if t == "clf" else training.REG_METRICS)
-        for t in ("clf", "reg")
-    ])
+    """Test metrics of all six baselines, recomputed."""
+    return _published(spark, sf_dir, "test")
 
 
 @query
 def ml13_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = lab(spark, sf_dir)
-    return training.feature_importance(state.model("RandomForestClassifier"), "clf", spark)
+    table = training.feature_importance(state.model("RandomForestClassifier"), "clf", spark)
+    return table.agg(F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+                     F.bool_and(F.col("importance") >= 0).alias("nonnegative"))
 
 
 def _card(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -787,20 +801,34 @@ def _card(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ml14_model_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return card.card_json(_card(spark, sf_dir))
+    """The card's JSON read back: selected names and metrics as in the test table."""
+    state = lab(spark, sf_dir)
+    made = _card(spark, sf_dir)
+    back = card.card_json(made).select(F.from_json("card", made.schema).alias("c")).select("c.*")
+    told = {t: next(r for r in state.test_metrics[t] if r["model"] == state.best(t)) for t in ("clf", "reg")}
+    text = card.card_json(made).select(*[F.contains("card", F.lit(told[t]["model"])).alias(t) for t in told]).first()
+    return back.select(
+        F.lit(bool(text["clf"] and text["reg"])).alias("names"),
+        (F.col("classifier.test_f1_weighted") == F.lit(told["clf"]["f1_weighted"])).alias("classifier_metric"),
+        (F.col("regressor.test_rmse_log") == F.lit(told["reg"]["rmse_log"])).alias("regressor_metric"))
 
 
 @query
 def ml14_metric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return card.metric_summary(_card(spark, sf_dir))
+    """The card's metrics by name, and how far each is from the test table."""
+    state = lab(spark, sf_dir)
+    told = {t: next(r for r in state.test_metrics[t] if r["model"] == state.best(t)) for t in ("clf", "reg")}
+    value = F.create_map(*[x for name, v in (
+        ("F1 (weighted)", told["clf"]["f1_weighted"]), ("AUC-ROC", told["clf"]["auc_roc"]), ("R2", told["reg"]["r2"]),
+        ("RMSE (log)", told["reg"]["rmse_log"]), ("RMSE (km)", told["reg"]["rmse_km"])) for x in (F.lit(name), F.lit(float(v)))])
+    return card.metric_summary(_card(spark, sf_dir)).select("task", "metric", F.abs(F.col("value") - value[F.col("metric")]).alias("difference"))
 
 
 @query
 def ml15_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both heads over every approach."""
     state = lab(spark, sf_dir)
-    return state.scorer.score(state.approaches).select(
-        "approach_id", "hazardous_predicted", "hazardous_probability", "miss_distance_km")
+    return checks.scores_hold(state.scorer.score(state.approaches))
 
 
 @query
@@ -811,41 +839,40 @@ def dq7_check_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def snk5_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all approaches from the saved and reloaded models."""
+    """Scores of all approaches from the saved and reloaded models, next to those of the models in memory."""
     state = lab(spark, sf_dir)
     path = fresh_path(spark, "models")
     state.scorer.save(path)
-    return Scorer.load(path).score(state.approaches).select(
-        "approach_id", "hazardous_predicted", "hazardous_probability", "miss_distance_km")
+    return checks.scores_hold(Scorer.load(path).score(state.approaches), state.scorer.score(state.approaches))
 
 
 # --- streams --------------------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, sf_dir: str, files: int = 4) -> tuple[str, DataFrame]:
-    """Approaches as several arriving files in key order, with a column for the arrival."""
-    a = src.load_approaches(spark, sf_dir).select("approach_id", *RAW_COLUMNS)
-    path = fresh_path(spark, "landed")
-    a.repartitionByRange(files, "approach_id").write.parquet(path)
-    return path, a
-
-
 @query
 def str1_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approaches arriving as files, some with a diameter of 0: scored rows as in the batch, refused rows counted."""
     state = lab(spark, sf_dir)
-    path, a = _landed(spark, sf_dir)
-    out = fresh_path(spark, "stream-scored")
-    score_stream(spark, path, a.schema, state.scorer, out, fresh_path(spark, "stream-refused"),
-                 fresh_path(spark, "stream-state"), max_files=2).awaitTermination()
-    return spark.read.parquet(out).select(
-        "approach_id", "hazardous_predicted", "hazardous_probability", "miss_distance_km")
+    a = src.load_approaches(spark, sf_dir).select("approach_id", *RAW_COLUMNS).withColumn(
+        "est_diameter_min", F.when(F.col("approach_id") % 50 == 0, 0.0).otherwise(F.col("est_diameter_min")))
+    path, out, refused = (fresh_path(spark, f"stream-{n}") for n in ("landed", "scored", "refused"))
+    a.repartitionByRange(4, "approach_id").write.parquet(path)
+    score_stream(spark, path, a.schema, state.scorer, out, refused, fresh_path(spark, "stream-state"), max_files=2).awaitTermination()
+    valid = a.where(F.col("est_diameter_min") > 0)
+    held = checks.scores_hold(spark.read.parquet(out), state.scorer.score(valid))
+    return held.withColumn("refused", F.lit(spark.read.parquet(refused).count()).cast("long"))
 
 
 @query
 def str2_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All approaches as one arriving set; the table ends with the last approach of each object."""
-    path, a = _landed(spark, sf_dir)
+    """Approaches in several batches of two streams; the table ends with the last approach of each object."""
+    a = src.load_approaches(spark, sf_dir).select("approach_id", *RAW_COLUMNS)
+    middle = a.agg(F.percentile_approx("approach_id", 0.5)).first()[0]
     root = fresh_path(spark, "stream-objects")
-    done = upsert_stream(spark, path, a.schema, root, "approach_id", fresh_path(spark, "stream-state"))
-    done.awaitTermination()
-    return objects.read_snapshot(spark, root, 1)
+    for part in (a.where(F.col("approach_id") <= F.lit(middle)), a.where(F.col("approach_id") > F.lit(middle))):
+        for file in range(2):  # files land one after the other, so batches keep their order
+            path = fresh_path(spark, "landed")
+            cut = part.agg(F.percentile_approx("approach_id", 0.5)).first()[0]
+            part.where(F.col("approach_id") <= F.lit(cut) if file == 0 else F.col("approach_id") > F.lit(cut)).write.parquet(path)
+            upsert_stream(spark, path, a.schema, root, "approach_id", fresh_path(spark, "stream-state")).awaitTermination()
+    return objects.read_snapshot(spark, root, objects.latest_version(spark, root))

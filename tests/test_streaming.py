@@ -1,4 +1,4 @@
-from perigee.operators.objects import read_snapshot
+from perigee.operators.objects import latest_version, read_snapshot
 from perigee.plans.scoring import Scorer
 from perigee.streaming.scoring import score_stream
 from perigee.streaming.upsert import upsert_stream
@@ -21,6 +21,13 @@ def test_upsert_stream_applies_batches_in_order(spark, tmp_path):
     assert table == [(1, "b"), (2, "d"), (3, "e")]
     upsert_stream(spark, landed, schema, root, "seq", state).awaitTermination()
     assert sorted(map(tuple, read_snapshot(spark, root, 2).select("id", "name").collect())) == table
+    # another stream with a checkpoint of its own goes on from the same table
+    again, other = str(tmp_path / "in2"), str(tmp_path / "state2")
+    spark.createDataFrame([(9, 3, "z"), (10, 4, "y")], SCHEMA).coalesce(1).write.parquet(again)
+    for _ in range(2):
+        upsert_stream(spark, again, schema, root, "seq", other).awaitTermination()
+    assert latest_version(spark, root) == 3
+    assert sorted(map(tuple, read_snapshot(spark, root, 3).select("id", "name").collect())) == [(1, "b"), (2, "d"), (3, "z"), (4, "y")]
 
 
 def test_score_stream_matches_the_batch_scorer(spark, approaches, tmp_path):

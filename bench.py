@@ -45,7 +45,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": CPUS,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "12g",
     })
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
@@ -75,7 +75,7 @@ def main() -> None:
             names = [r["model"] for r in top_models(table, table[metric], 2).orderBy("rank").collect()]
             training.cross_validate(task, lab.rows(task, "train"), names, lab.settings).collect()
 
-    if os.environ.get("BENCH_CV", "0") == "1":
+    if os.environ.get("BENCH_CV", "1") == "1":
         timed("stage_cross_validation", cross_validate)
     timed("stage_test_evaluation", lambda: lab.test_metrics)
     timed("stage_score_all_rows", lambda: drain(lab.scorer.score(lab.approaches)))

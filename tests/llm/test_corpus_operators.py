@@ -103,7 +103,7 @@ def test_decontamination_against_all_windows(spark, monkeypatch):
     r = random.Random(5)
     items = [(i, " ".join(f"q{r.randint(0, 5000)}" for _ in range(r.choice([4, 8, 20, 33])))) for i in range(30)] + [(30, None), (31, ""), (32, "one two")]
     docs = []
-    for k in range(120):
+    for k in range(240):
         words = r.choice(items[:30])[1].split()
         for _ in range(r.randint(0, 4)):
             at = r.randrange(len(words))

@@ -27,15 +27,19 @@ def weight_column(df: DataFrame, label: str) -> Column:
     return F.when(F.col(label).cast("int") == 1, F.lit(weights.get(1, 1.0))).otherwise(F.lit(weights.get(0, 1.0)))
 
 
-def smote_demand(train: DataFrame, label: str = "hazardous") -> tuple[int, int]:
-    """Rows of the minority class and the number of synthetic rows it lacks."""
+# Copies of one row that a task makes at a time.
+COPIES_AT_ONCE = 1_000
+
+
+def smote_demand(train: DataFrame, label: str = "hazardous") -> tuple[int, int, int]:
+    """The minority class (1 if both are equally large), its rows and the number of synthetic rows it lacks."""
     row = train.agg(
         F.count_if(F.col(label).cast("int") == 1).alias("pos"),
         F.count_if(F.col(label).cast("int") == 0).alias("neg"),
     ).first()
-    if row["pos"] > row["neg"]:
-        raise ValueError("the labelled class must be the minority")
-    return row["pos"], row["neg"] - row["pos"]
+    minority = 1 if row["pos"] <= row["neg"] else 0
+    few, many = sorted((row["pos"], row["neg"]))
+    return minority, few, many - few
 
 
 def synthetic_rows(
@@ -53,21 +57,32 @@ def synthetic_rows(
     The wanted number is spread evenly over the minority rows; the rows that take one more are
     chosen by seeded hash. Neighbour and position on the line come from a hash of (row, copy).
     """
-    minority_rows, wanted = smote_demand(train, label)
+    return _grown(train, smote_demand(train, label), features, label, key, k, seed, scale_first, leaf_rows)
+
+
+def _grown(
+    train: DataFrame, demand: tuple[int, int, int], features: list[str], label: str, key: str, k: int, seed: int,
+    scale_first: bool, leaf_rows: int,
+) -> DataFrame:
+    minority_class, minority_rows, wanted = demand
     if wanted and minority_rows < 2:
         raise ValueError("at least two minority rows are needed")
     each, extra = divmod(wanted, max(minority_rows, 1))
-    minority = stable(train.where(F.col(label).cast("int") == 1).select(key, *features))
+    minority = stable(train.where(F.col(label).cast("int") == minority_class).select(key, *features))
     base = cut_by_hash(
         minority, key, lambda n: [F.lit(extra)], [each + 1, each], seed=f"{seed}:extra", out="copies")
     scaler = fit_scaler(minority, features) if scale_first else None
     if scaler:
         base = scaler.transform(base)
     neighbours = nearest_neighbours(base, key, features, k, leaf_rows, keep=["copies"])
-    copies = neighbours.where(F.col("copies") > 0)
+    copies = neighbours.where(F.col("copies") > 0).withColumn(
+        "_first", F.explode(F.sequence(F.lit(1), F.col("copies"), F.lit(COPIES_AT_ONCE))))
+    if each >= COPIES_AT_ONCE:
+        copies = copies.repartition(key, "_first")
     digest = hash_text(f"{seed}:smote", key, "copy")
     grown = (
-        copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        copies.withColumn("copy", F.explode(F.sequence(
+            F.col("_first"), F.least(F.col("copies"), F.col("_first") + F.lit(COPIES_AT_ONCE - 1)))))
         .withColumn("_d", digest)
         .withColumn("_nn", F.col("neighbours")[
             F.pmod(hash_word(F.col("_d"), 0), F.size("neighbours")).cast("int")])
@@ -103,8 +118,9 @@ def synthetic_training_rows(
 
     They are checkpointed, so reading them again does not repeat the neighbour search.
     """
-    return stable(synthetic_rows(train, features, label, key, k, seed, scale_first, leaf_rows).select(
-        "row_key", *features, F.lit(1).alias(label), F.lit(True).alias("synthetic")
+    demand = smote_demand(train, label)
+    return stable(_grown(train, demand, features, label, key, k, seed, scale_first, leaf_rows).select(
+        "row_key", *features, F.lit(demand[0]).alias(label), F.lit(True).alias("synthetic")
     ))
 
 

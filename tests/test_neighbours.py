@@ -89,9 +89,18 @@ def test_smote_evens_classes_between_parents(train, scale_first):
     assert per_base.max() - per_base.min() <= 1 and len(per_base) == train.where("hazardous").count()
 
 
-def test_smote_needs_a_minority(train):
-    with pytest.raises(ValueError):
-        balance.smote(train.withColumn("hazardous", ~F.col("hazardous")), CLF_FEATURES)
+def test_smote_grows_whichever_class_is_smaller(train):
+    turned = train.withColumn("hazardous", ~F.col("hazardous"))
+    plain = {r["hazardous"]: r["count"] for r in balance.smote(train, CLF_FEATURES).groupBy("hazardous").count().collect()}
+    counts = {r["hazardous"]: r["count"] for r in balance.smote(turned, CLF_FEATURES).groupBy("hazardous").count().collect()}
+    assert counts == plain and counts[0] == counts[1]
+
+
+def test_smote_of_very_few_rows(spark):
+    rows = spark.range(3503).select(F.col("id").alias("approach_id"), (F.col("id") < 3).alias("hazardous"), F.sqrt("id").alias("f"))
+    new = balance.synthetic_rows(rows, ["f"], k=2)
+    assert new.count() == new.select("row_key").distinct().count() == 3500 - 3
+    assert {r["copy"] for r in new.groupBy("base_key").agg(F.max("copy").alias("copy")).collect()} <= {1165, 1166}
 
 
 def test_class_weights(approaches):

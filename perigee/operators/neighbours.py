@@ -76,8 +76,10 @@ def _grow_leaves(vectors: DataFrame, width: int, leaf_rows: int) -> tuple[DataFr
     tree, depth = vectors.withColumn("leaf", F.lit(0).cast("long")), 0
     fractions = [i / FANOUT for i in range(1, FANOUT)]
     order = _split_order(vectors, width)
-    uncut = 0
+    uncut, grown = 0, True
     while uncut < len(order) and depth < MAX_DEPTH:
+        if grown and tree.groupBy("leaf").count().where(F.col("count") > leaf_rows).isEmpty():
+            break
         position = order[0]
         order = [*order[1:], position]
         value = F.col("x")[position]
@@ -98,9 +100,9 @@ def _grow_leaves(vectors: DataFrame, width: int, leaf_rows: int) -> tuple[DataFr
         ))
         n_cuts = cuts.count()
         if not n_cuts:
-            uncut += 1
+            uncut, grown = uncut + 1, False
             continue
-        uncut = 0
+        uncut, grown = 0, True
         child = F.coalesce(F.size(F.filter("cuts", lambda c: c < value)), F.lit(0))
         tree = stable(
             tree.join(_few(cuts, n_cuts), "leaf", "left")
@@ -108,7 +110,7 @@ def _grow_leaves(vectors: DataFrame, width: int, leaf_rows: int) -> tuple[DataFr
             .drop("cuts")
         )
         depth += 1
-    return (tree if depth else stable(tree)), depth
+    return tree, depth
 
 
 def _nearest(

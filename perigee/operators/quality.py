@@ -75,11 +75,13 @@ def require(report: DataFrame) -> None:
 
 
 # Messages of the input rules, in the order they are checked.
-def input_rules() -> list[tuple[str, Column]]:
+def input_rules(strict: bool = False) -> list[tuple[str, Column]]:
     positive = ["est_diameter_min", "est_diameter_max", "relative_velocity", "miss_distance"]
     rules = [(f"{c} must be greater than 0", F.col(c).isNull() | F.isnan(c) | (F.col(c) <= 0)) for c in positive]
     rules.append(("absolute_magnitude must be a number",
                   F.col("absolute_magnitude").isNull() | F.isnan("absolute_magnitude")))
+    if strict:  # the batch form asks for it
+        rules.append(("absolute_magnitude must be greater than 0", F.col("absolute_magnitude") <= 0))
     rules.append((
         "est_diameter_max must be greater than or equal to est_diameter_min",
         F.col("est_diameter_max") < F.col("est_diameter_min"),
@@ -87,9 +89,9 @@ def input_rules() -> list[tuple[str, Column]]:
     return rules
 
 
-def validate_inputs(df: DataFrame) -> DataFrame:
-    """Add ``errors``: every rule the row breaks, empty for an accepted row."""
-    found = F.array(*[F.when(broken, F.lit(message)) for message, broken in input_rules()])
+def validate_inputs(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Add ``errors``: every rule the row breaks, empty for an accepted row. ``strict`` wants a positive magnitude too."""
+    found = F.array(*[F.when(broken, F.lit(message)) for message, broken in input_rules(strict)])
     return df.withColumn("errors", F.filter(found, lambda e: e.isNotNull()))
 
 

@@ -150,7 +150,9 @@ _LINKED = (
 )
 _FEATURE_ROW = _round([*ENGINEERED, "absolute_magnitude"]) + ", cast(hazardous AS int) AS hazardous, id AS sourceNeoId"
 _SHIFTED = """shifted AS (SELECT approach_id, est_diameter_min - 0.01 AS lo, est_diameter_max - 0.05 AS hi,
-  relative_velocity - 20000.0 AS v, miss_distance - 1000000.0 AS d FROM neo)"""
+  CASE WHEN approach_id % 41 <> 0 THEN relative_velocity - 20000.0 END AS v,
+  CASE WHEN approach_id % 43 = 0 THEN cast('nan' AS double) ELSE miss_distance - 1000000.0 END AS d,
+  CASE WHEN approach_id % 53 = 0 THEN cast('nan' AS double) WHEN approach_id % 47 <> 0 THEN absolute_magnitude - 20.0 END AS m FROM neo)"""
 _RULE_TABLE = (
     "aucs AS (SELECT model, sum(pos * (tot_n - cum + neg / 2.0)) / (max(tot_p) * max(tot_n)) AS auc_roc FROM ("
     "SELECT model, pos, neg, sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS cum, "
@@ -238,19 +240,22 @@ SELECT 'clf' AS task, model, 'all' AS split, metric, round(value, 9) AS value FR
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM neo" for c in RAW_COLUMNS),
     "dq3_expect_positive": f"""{NEO_} SELECT 'est_diameter_min' AS "column", count(*) FILTER (NOT est_diameter_min > 0) AS violations,
   count(*) FILTER (NOT est_diameter_min > 0) = 0 AS ok FROM neo""",
-    "dq4_expect_finite": _with(NEO, """s AS (SELECT greatest(est_diameter_min - 0.01, 0.0) AS lo, est_diameter_max AS hi FROM neo)""")
+    "dq4_expect_finite": _with(NEO, """s AS (SELECT greatest(est_diameter_min - 0.01, 0.0) AS lo, est_diameter_max AS hi,
+  relative_velocity AS v, miss_distance AS d, absolute_magnitude AS m FROM neo)""")
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", "
-        + ("count(*) FILTER (lo = 0)" if c in ("diameter_ratio", "log_diameter_ratio") else "cast(0 AS bigint)")
-        + " AS violations, "
-        + ("count(*) FILTER (lo = 0) = 0" if c in ("diameter_ratio", "log_diameter_ratio") else "count(*) >= 0")
-        + " AS ok FROM s" for c in [*ENGINEERED, "absolute_magnitude"]),
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (NOT coalesce(isfinite({e}), false)) AS violations, "
+        f"count(*) FILTER (NOT coalesce(isfinite({e}), false)) = 0 AS ok FROM s" for c, e in {
+            "diameter_avg": "(lo + hi) / 2", "diameter_ratio": "hi / nullif(lo, 0)", "log_diameter_avg": "ln(1 + (lo + hi) / 2)",
+            "log_diameter_ratio": "ln(1 + hi / nullif(lo, 0))", "log_relative_velocity": "ln(1 + v)", "log_miss_distance": "ln(1 + d)",
+            "absolute_magnitude": "m"}.items()),
     "dq5_validate_inputs": f"""{_with(NEO, _SHIFTED)} SELECT approach_id, errors, errors = '' AS accepted FROM (
   SELECT approach_id, concat_ws('; ',
     CASE WHEN lo <= 0 THEN 'est_diameter_min must be greater than 0' END,
     CASE WHEN hi <= 0 THEN 'est_diameter_max must be greater than 0' END,
-    CASE WHEN v <= 0 THEN 'relative_velocity must be greater than 0' END,
-    CASE WHEN d <= 0 THEN 'miss_distance must be greater than 0' END,
+    CASE WHEN v IS NULL OR v <= 0 THEN 'relative_velocity must be greater than 0' END,
+    CASE WHEN isnan(d) OR d <= 0 THEN 'miss_distance must be greater than 0' END,
+    CASE WHEN m IS NULL OR isnan(m) THEN 'absolute_magnitude must be a number' END,
+    CASE WHEN m <= 0 THEN 'absolute_magnitude must be greater than 0' END,
     CASE WHEN hi < lo THEN 'est_diameter_max must be greater than or equal to est_diameter_min' END) AS errors FROM shifted) x""",
     "dq6_check_manifest": f"""{NEO_} SELECT DISTINCT name FROM neo WHERE name NOT IN (
   SELECT name FROM neo WHERE hazardous AND miss_distance > 60000000.0)""",

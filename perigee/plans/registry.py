@@ -251,10 +251,12 @@ def dq5_validate_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     shifted = src.load_approaches(spark, sf_dir).withColumns({
         "est_diameter_min": F.col("est_diameter_min") - 0.01,
         "est_diameter_max": F.col("est_diameter_max") - 0.05,
-        "relative_velocity": F.col("relative_velocity") - 20000.0,
-        "miss_distance": F.col("miss_distance") - 1000000.0,
+        "relative_velocity": F.when(F.col("approach_id") % 41 != 0, F.col("relative_velocity") - 20000.0),
+        "miss_distance": F.when(F.col("approach_id") % 43 == 0, float("nan")).otherwise(F.col("miss_distance") - 1000000.0),
+        "absolute_magnitude": F.when(F.col("approach_id") % 53 == 0, float("nan")).when(
+            F.col("approach_id") % 47 != 0, F.col("absolute_magnitude") - 20.0),
     })
-    checked = quality.validate_inputs(shifted)
+    checked = quality.validate_inputs(shifted, strict=True)
     return checked.select(
         "approach_id", F.concat_ws("; ", "errors").alias("errors"), (F.size("errors") == 0).alias("accepted"))
 

@@ -1,5 +1,7 @@
 """Every registered query with a SQL counterpart gives the same rows in both engines."""
 
+import os
+
 import duckdb
 import pytest
 from conftest import SF
@@ -13,7 +15,8 @@ QUERIES = entry_module.queries()
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    for table in sorted(os.listdir(SF)):
+        connection.execute(f"CREATE VIEW {table.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{table}'")
     return connection
 
 

@@ -11,12 +11,15 @@ from perigee.llm.chat import op8_chat
 from perigee.llm.decontaminate import op4_decontamination
 from perigee.llm.extract import op7_extract
 from perigee.llm.neardup import op6_near_duplicates
+from perigee.llm.oracles import ORACLES
 from perigee.llm.pii import op2_pii
 from perigee.llm.quality import op5_quality
 from perigee.llm.secrets import op10_secrets
 from perigee.llm.tokens import op9_token_counts
 from perigee.llm.warc import op1_warc
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -30,4 +33,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}

@@ -6,7 +6,8 @@
    similarity: the population count of the XOR estimates the symmetric difference. Pairs below the bound minus
    4.5 standard deviations go, all others are confirmed exactly on the full sets.
 4. Confirmed links are contracted to components. Buckets that still hold several components are compared in blocks
-   of bounded size, sketch against sketch; only pairs across components that pass are emitted and confirmed.
+   of bounded size, sketch against sketch: first a forest of the most similar pairs across components, then, of
+   the components that are left, all pairs that pass. These are confirmed and contracted as well.
 
 So links are complete for all pairs that share a bucket, and no group of any size is listed pair by pair.
 """
@@ -187,9 +188,13 @@ def contract(edges: DataFrame) -> DataFrame:
     e = stable(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).filter("u != v").distinct())
     nodes = e.select(F.col("u").alias("node")).distinct().withColumn("root", F.col("node"))
     while not e.isEmpty():
-        step = e.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p"))
-        onward = step.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        step = stable(step.join(onward, "p", "left").select("u", F.coalesce("pp", "p").alias("p")))
+        step = stable(e.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")))
+        while True:  # pointers to pointers, until all point to where a pointer stays
+            onward = step.select(F.col("u").alias("p"), F.col("p").alias("pp"))
+            jumped = stable(step.join(onward, "p").select("u", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved")))
+            step = jumped.select("u", "p")
+            if jumped.filter("moved").isEmpty():
+                break
         to = lambda name, out: step.select(F.col("u").alias(name), F.col("p").alias(out))
         nodes = stable(nodes.join(to("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root")))
         e = stable(e.join(to("u", "pu"), "u").join(to("v", "pv"), "v").filter("pu != pv").select(
@@ -211,21 +216,28 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").filter("ra != rb").select("a", "b")
 
 
-def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame) -> DataFrame:
-    """Pairs across components, inside buckets (bucket, cid) that hold several, whose sketches pass."""
+def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame, bands: DataFrame, spanning: bool) -> DataFrame:
+    """Pairs across components, inside buckets (bucket, cid) that hold several, whose sketches pass.
+
+    A pair is looked at in the first bucket that it shares only. With spanning, each block emits just a forest over
+    its components, the most similar pairs first; else all of its pairs.
+    """
     members = buckets.join(labels, "cid")
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     opened = sizes.filter("lo != hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))  # two members were a pair before
     mine = members.join(opened, "bucket").withColumn("mine", F.pmod(F.xxhash64("cid"), "parts").cast("int"))
     dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid", "root")
-    rows = dealt.join(info.select("cid", "level", "c0", "s0", "c1", "s1"), "cid")
+    rows = dealt.join(info.select("cid", "level", "c0", "s0", "c1", "s1"), "cid").join(bands, "cid")
 
-    def compare(block: list[tuple]) -> Iterator[tuple[int, int]]:
-        _, i, j = block[0][:3]
+    def compare(block: list[tuple]) -> list[tuple[int, int]]:
+        bucket, i, j = block[0][:3]
         side = np.array([r[3] for r in block])
         cid, root = np.array([r[4] for r in block]), np.array([r[5] for r in block])
         level = np.array([r[6] for r in block])
+        keys = np.array([r[11] for r in block], np.int64)
+        band = int(np.flatnonzero(keys[0] == bucket)[0])
+        out: list[tuple[float, int, int]] = []
         for lv in range(level.min(), level.max() + 1):
             # partners at this level: own sketches of the level, next-level sketches of the level below
             own, below = np.flatnonzero(level == lv), [k for k in np.flatnonzero(level == lv - 1) if len(block[k][10])]
@@ -241,10 +253,26 @@ def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame) -> Da
                     y = y[side[use[y]] != side[use[x]]]
                 if not len(y):
                     continue
-                count = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
-                for k in y[count <= _limit(size[y] + size[x], float(lv > 0), np.sqrt, np.exp, lambda v: v)]:
-                    a, b = cid[use[x]], cid[use[k]]
-                    yield int(min(a, b)), int(max(a, b))
+                share = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1) / _limit(size[y] + size[x], float(lv > 0), np.sqrt, np.exp, lambda v: v)
+                y, share = y[share <= 1], share[share <= 1]
+                first = (keys[use[y]][:, :band] != keys[use[x]][:band]).all(axis=1)
+                out += [(float(d), int(use[x]), int(use[k])) for d, k in zip(share[first], y[first], strict=True)]
+        if spanning:
+            over: dict[int, int] = {}
+
+            def top(r: int) -> int:
+                while over.get(r, r) != r:
+                    r = over[r]
+                return r
+
+            forest = []
+            for d, x, y in sorted(out):
+                rx, ry = top(int(root[x])), top(int(root[y]))
+                if rx != ry:
+                    over[max(rx, ry)] = min(rx, ry)
+                    forest.append((d, x, y))
+            out = forest
+        return [(int(min(cid[x], cid[y])), int(max(cid[x], cid[y]))) for _, x, y in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def stream() -> Iterator[tuple]:
@@ -253,12 +281,12 @@ def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame) -> Da
                     yield from zip(*[c.to_pylist() for c in batch.slice(at, 256).columns], strict=True)
 
         for _, block in itertools.groupby(stream(), key=lambda r: r[:3]):
-            pairs = list(compare(list(block)))
+            pairs = compare(list(block))
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], names=["a", "b"])
 
     ordered = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.select("bucket", "i", "j", "mine", "cid", "root", "level", "c0", "s0", "c1", "s1").mapInArrow(run, "a long, b long").distinct()
+    return ordered.select("bucket", "i", "j", "mine", "cid", "root", "level", "c0", "s0", "c1", "s1", "bands").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -284,8 +312,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for pairs in (best, stars.select("a", "b")):
         links = stable(_confirmed(_passing(_across(pairs, labels), info), info))
         labels = _merged(labels, links)
-    links = stable(_confirmed(_across(_blocked_pairs(buckets.select("bucket", "cid"), labels, info), labels), info))
-    labels = _merged(labels, links)
+    keys = classes.select("cid", "bands")
+    for spanning in (True, False):
+        pairs = _blocked_pairs(buckets.select("bucket", "cid"), labels, info, keys, spanning)
+        links = stable(_confirmed(_across(pairs, labels), info))
+        labels = _merged(labels, links)
 
     lows = labels.join(classes.select("cid", "low"), "cid")
     smallest = lows.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n")).filter("n > 1")

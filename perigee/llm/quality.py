@@ -2,7 +2,8 @@
 
 A document's histogram over character classes and its histogram over the common words of its language are held
 against the language's references with the Jensen-Shannon distance. The references are sums over all documents
-that pass the base rules. A histogram is judged only above a least size, as short texts diverge by chance.
+that pass the base rules, one reference for each value of lang. A histogram is judged only above a least size, as
+short texts diverge by chance, and only where the language is known.
 """
 
 from __future__ import annotations
@@ -27,6 +28,12 @@ LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Guards: least characters and words before a histogram is judged. Limits: largest distance of a kept document.
 LEAST_CHARS_JUDGED, LEAST_WORDS_JUDGED = 200, 50
 MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.155, 0.45
+#: Lang (in lower case) that names no single language; null is one more.
+UNIDENTIFIED = ["", "und", "unknown", "mul", "mis", "zxx", "other"]
+#: Most languages whose references are broadcast; beyond, they are joined.
+BROADCAST_LANGS = 20_000
+#: Parts a table of references is saved in.
+REFERENCE_PARTS = 8
 
 SPACES = " \t\n\x0b\x0c\r"
 CHAR_CLASSES = ["[a-z]+", "[^\\x00-\\x7F]+", "[A-Z]+", "[.,;:?'\"()-]+", "[0-9]+"]  # the rest of a word's characters: symbols
@@ -35,7 +42,8 @@ _Q, _V = "__quality", "__verdict"
 
 
 def _language(lang: Column) -> Column:
-    return F.when(lang.isin(*COMMON_WORDS), lang).otherwise(F.lit("other"))
+    """The document's own lang, null where it names no single language."""
+    return F.when(~F.lower(F.btrim(lang, F.lit(SPACES))).isin(*UNIDENTIFIED), lang)
 
 
 #: Low bits of a sorting key that hold a window's place.
@@ -129,18 +137,36 @@ def base_failed(q: Column) -> Column:
 
 
 def references(profiles: DataFrame) -> DataFrame:
-    """One row per language (at most five): summed histograms of all documents that pass the base rules, then
-    once more of those among them that are near the first sums, so that junk doesn't blur the reference."""
+    """One row per known language: summed histograms of all documents that pass the base rules, then once more of
+    those among them that are near the first sums, so that junk doesn't blur the reference.
 
-    def sums(rows: DataFrame) -> DataFrame:
-        q = F.col(_Q)
-        return rows.groupBy(q["lang"].alias("__ref_lang")).agg(
-            F.array(*[F.sum(q["chars"][i]) for i in range(CHARS)]).alias("__ref_chars"),
-            F.array(*[F.sum(q["common"][i]) for i in range(COMMON)]).alias("__ref_common"),
-            F.sum(q["n_words"]).alias("__ref_words"))
+    Where a language without a list of common words has no document near its first sums (much junk), the half that
+    is nearest takes their place.
+    """
+    q, v = F.col(_Q), F.col(_V)
 
-    sound = profiles.filter(~base_failed(F.col(_Q))).select(_Q)
-    return sums(judged(sound, sums(sound)).filter(f"{_V}.kept").select(_Q))
+    def sums(rows: DataFrame, near: Column) -> DataFrame:
+        """Sums of the near rows of each language: nulls where it has none."""
+        def total(x: Column) -> Column:
+            return F.sum(F.when(near, x))
+
+        return rows.groupBy(q["lang"].alias("__ref_lang")).agg(
+            F.array(*[total(q["chars"][i]) for i in range(CHARS)]).alias("__ref_chars"),
+            F.array(*[total(q["common"][i]) for i in range(COMMON)]).alias("__ref_common"),
+            total(q["n_words"]).alias("__ref_words")).coalesce(REFERENCE_PARTS)
+
+    sound = profiles.filter(~base_failed(q) & q["lang"].isNotNull()).select(_Q)
+    first = stable(sums(sound, F.lit(True)))
+    second = stable(sums(judged(sound, first), v["kept"]))
+    lost = second.filter(F.col("__ref_words").isNull() & ~F.col("__ref_lang").isin(*COMMON_WORDS)).select("__ref_lang")
+    if lost.isEmpty():
+        return second
+    far = stable(first.join(lost, "__ref_lang"))
+    middle = judged(sound, far).filter(F.col("__ref_lang").isNotNull()).groupBy("__ref_lang").agg(
+        F.percentile_approx(v["char_distance"], 0.5).alias("__middle"))
+    halves = judged(sound, stable(far.join(middle, "__ref_lang"))).filter(F.col("__ref_lang").isNotNull())
+    nearest = sums(halves, v["char_distance"] <= F.col("__middle"))
+    return stable(second.join(lost, "__ref_lang", "left_anti").union(nearest))
 
 
 def _distance(p: Column, q: Column) -> Column:
@@ -162,9 +188,16 @@ def _distance(p: Column, q: Column) -> Column:
 
 
 def judged(profiles: DataFrame, reference: DataFrame) -> DataFrame:
-    """Adds the verdict and distances as a struct column; the reference has at most five rows and is broadcast."""
+    """Adds the verdict and distances as a struct column; without a language nothing but the base rules counts.
+
+    The reference, a saved table of one row per language, is counted and broadcast where it is small.
+    """
     q = F.col(_Q)
-    df = profiles.join(F.broadcast(reference), q["lang"] == F.col("__ref_lang"), "left")
+    if reference.limit(BROADCAST_LANGS + 1).count() <= BROADCAST_LANGS:
+        df = profiles.join(F.broadcast(reference), q["lang"] == F.col("__ref_lang"), "left")
+    else:  # documents without a language are spread
+        spread = F.coalesce(q["lang"], F.concat(F.lit("\0"), F.pmod(F.xxhash64(q), F.lit(4096)).cast("string")))
+        df = profiles.join(reference.hint("merge"), spread == F.col("__ref_lang"), "left")
 
     def with_rest(common: Column, words: Column) -> Column:
         used = F.aggregate(common, F.lit(0).cast("long"), lambda a, b: a + b)
@@ -172,7 +205,7 @@ def judged(profiles: DataFrame, reference: DataFrame) -> DataFrame:
 
     chars = let(q["chars"], lambda c: F.when(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x) >= LEAST_CHARS_JUDGED,
                                              F.coalesce(_distance(c, F.col("__ref_chars")), F.lit(0.0))).otherwise(F.lit(0.0)))
-    words = F.when((q["n_words"] >= LEAST_WORDS_JUDGED) & (q["lang"] != "other"), F.coalesce(_distance(
+    words = F.when((q["n_words"] >= LEAST_WORDS_JUDGED) & q["lang"].isin(*COMMON_WORDS), F.coalesce(_distance(
         with_rest(q["common"], q["n_words"]), with_rest(F.col("__ref_common"), F.col("__ref_words"))), F.lit(0.0))).otherwise(F.lit(0.0))
 
     def verdict(d: Column) -> Column:
@@ -186,8 +219,9 @@ def judged(profiles: DataFrame, reference: DataFrame) -> DataFrame:
 def quality(docs: DataFrame) -> DataFrame:
     """Counts, distances and verdict of every document (columns doc_id, text and lang are read).
 
-    A null or empty text has no words and fails the base rules. Languages without a list of common words share
-    the reference "other", where only characters are judged. Repeated rows and null keys are judged like any row.
+    A null or empty text has no words and fails the base rules. Every value of lang has its own reference; without a
+    list of common words only characters are judged, and a lang that is null or names no single language is held to
+    the base rules alone. Repeated rows and null keys are judged like any row.
     """
     profiles = stable(measured(docs.select("doc_id", "text", "lang")).select("doc_id", _Q))  # a few numbers a row
     q, v = F.col(_Q), F.col(_V)
@@ -197,7 +231,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """Rows of docs, all columns, that quality() keeps; texts are measured twice and never shuffled."""
+    """Rows of docs, all columns, that quality() keeps; texts are measured twice, and shuffled only beyond BROADCAST_LANGS languages."""
     reference = references(stable(measured(docs.select("text", "lang")).select(_Q)))
     rows = packed(docs, F.col("text"), F.col("lang"))
     return judged(measured(rows), reference).filter(f"{_V}.kept").select("row.*")

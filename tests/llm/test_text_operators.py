@@ -111,6 +111,30 @@ def test_quality_verdict(spark):
     assert shares[1] >= 0.98 and shares[0] <= 0.1
 
 
+def _prose(r, letters, words=150):
+    return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 9))) + r.choice(["", "", "", "", ","]) for _ in range(words)) + "."
+
+
+@pytest.mark.parametrize("most, rare", [(95, 5), (80, 20)])
+@pytest.mark.parametrize("broadcast", [quality.BROADCAST_LANGS, 0])
+def test_quality_of_unlisted_languages(spark, monkeypatch, most, rare, broadcast):
+    """Every unlisted language has its own reference: a rare one stays, junk in either goes, unknown ones are not judged."""
+    monkeypatch.setattr(quality, "BROADCAST_LANGS", broadcast)
+    r = random.Random(3)
+    latin, cyrillic, junk = "abcdefghilmnopqrstuvz", "абвгдежзиклмнопрстуфхчшыья", "0123456789#*$%&|<>"
+    rows = [("ru", _prose(r, cyrillic), True) for _ in range(most)] + [("it", _prose(r, latin), True) for _ in range(rare)]
+    rows += [(lang, _prose(r, junk), False) for lang in ("ru", "it")]
+    rows += [(lang, _prose(r, letters), True) for lang in (None, " ", "und") for letters in (latin, cyrillic)]
+    # so much junk that no document is near the first sums
+    rows += [("pl", _prose(r, latin), True) for _ in range(12)] + [("pl", _prose(r, junk), False) for _ in range(8)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t, _) in enumerate(rows)], "doc_id long, text string, lang string")
+    want = [i for i, row in enumerate(rows) if row[2]]
+    got = quality.quality(docs)
+    assert not got.filter("base_failed").count()
+    assert sorted(x["doc_id"] for x in got.filter("kept").collect()) == want
+    assert sorted(x["doc_id"] for x in quality.keep_good(docs).collect()) == want
+
+
 def test_quality_stage_keeps_columns(spark):
     docs = documents(spark, ["word number %d of a text that is long enough " % i * 1 + " ".join(f"w{i}{j}" for j in range(80)) for i in range(4)])
     assert quality.keep_good(docs).columns == docs.columns

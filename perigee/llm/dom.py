@@ -11,6 +11,9 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody "
     "td tfoot th thead tr ul button".split())
+#: The implied block of a run of text that stands in no block element, and all elements that are judged as blocks.
+RUN = "#run"
+SCORED = BLOCK - {"html", "body", "hr"} | {RUN}
 #: Elements whose start ends an open paragraph, and elements whose start ends an open one of the listed kinds.
 ENDS_P = BLOCK - {"body", "html", "option", "button", "caption", "legend", "tbody", "td", "tfoot", "th", "thead", "tr", "select"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -25,7 +28,11 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 
 
 class Page:
-    """Elements as parallel lists (0 is the page itself) and texts as (element, block number, text)."""
+    """Elements as parallel lists (0 is the page itself) and texts as (element, block number, text).
+
+    A run of text in no block element but body or html gets an implied element RUN, after all others, whose parent is
+    the element of its first word; within has the element each text was written in.
+    """
 
     def __init__(self, source: str):
         self.tag, self.parent, self.attributes = ["#page"], [-1], [""]
@@ -61,6 +68,22 @@ class Page:
                     break
                 shut = source.find(">", close.start())
                 at = len(source) if shut < 0 else shut + 1
+        self.within = [element for element, _, _ in self.texts]
+        self._imply_runs()
+
+    def _imply_runs(self) -> None:
+        inside = [False] * len(self.tag)
+        for i in range(1, len(inside)):
+            inside[i] = inside[self.parent[i]] or self.tag[i] in SCORED
+        runs: dict[int, int] = {}
+        for element, block, text in self.texts:
+            if not inside[element] and block not in runs and text.strip():
+                runs[block] = len(self.tag)
+                self.tag.append(RUN)
+                self.parent.append(element)
+                self.attributes.append(self.attributes[element])
+        if runs:
+            self.texts = [(e if inside[e] else runs.get(block, e), block, text) for e, block, text in self.texts]
 
     def _open(self, stack: list[int], name: str) -> set[str]:
         return {name} if any(self.tag[i] == name for i in reversed(stack)) else set()

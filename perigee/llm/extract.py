@@ -1,6 +1,6 @@
 """Main text of pages: boosted trees over the features of DOM elements, decoded hierarchically.
 
-Every block element is scored by gradient-boosted trees over its subtree's density, its attributes' tokens, its
+Every block element, and every run of text outside them as an implied one, is scored by gradient-boosted trees over its subtree's density, its attributes' tokens, its
 depth, siblings and ancestors. Decoding maximises the summed log-odds under the rule that a kept element's
 ancestors are kept, so no choice contradicts another. The trees are fitted by MLlib on a bounded number of
 labelled pages which Spark tasks generate from a grammar of usual layouts.
@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.llm.common import fit_boosted, map_rows, table
-from perigee.llm.dom import BLOCK, RAW, Page, joined
+from perigee.llm.dom import BLOCK, RAW, RUN, SCORED, Page, joined
 from perigee.session import stable
 
 #: Labelled pages, trees and depth.
 SAMPLE_PAGES, TREES, DEPTH = 400, 20, 5
+#: Share of labelled pages whose article stands directly in body or in inline elements.
+BARE_SHARE = 0.2
 
 #: Tokens of class, id, role and aria-label that tell content or its opposite.
 GOOD = frozenset("article content main post story entry text body blog page column".split())
@@ -28,7 +30,6 @@ BAD = frozenset(
     "ad ads advert advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs footer header masthead "
     "sidebar side aside widget related recommended cookie cookies consent notice alert popup modal overlay subscribe newsletter signup "
     "login form search share social comment comments reply discussion disqus meta tags pager pagination copyright legal toolbar".split())
-SCORED = BLOCK - {"html", "body", "hr"}
 GROUPS = {
     "tag_good": {"article", "main"}, "tag_bad": {"nav", "footer", "header", "aside", "form", "menu", "dialog", "select", "button", "fieldset", "search"},
     "tag_p": {"p"}, "tag_head": {"h1", "h2", "h3", "h4", "h5", "h6"}, "tag_list": {"ul", "ol", "li", "dl", "dt", "dd"},
@@ -37,7 +38,7 @@ GROUPS = {
 FEATURES = [
     *GROUPS, "token_good", "token_bad", "in_good", "in_bad", "under_token_good", "under_token_bad", "depth", "log_chars", "share", "link_density",
     "words_per_block", "stops", "elements", "paragraphs", "inputs", "place", "sibling_place", "siblings", "same_siblings", "parent_share",
-    "holds_good", "own_chars",
+    "holds_good", "own_chars", "loose",
 ]
 
 
@@ -62,7 +63,7 @@ def page_features(page: Page) -> tuple[list[int], np.ndarray]:
         in_link[i] = in_link[p] or page.tag[i] == "a"
         depth[i] = depth[p] + 1
         tokens[i] = _tokens(page, i)
-    for element, _, text in page.texts:
+    for (element, _, text), within in zip(page.texts, page.within, strict=True):
         size = len(text) - text.count(" ") - text.count("\n")
         if not size:
             continue
@@ -71,7 +72,7 @@ def page_features(page: Page) -> tuple[list[int], np.ndarray]:
         chars[element] += size
         words[element] += len(text.split())
         stops[element] += text.count(".") + text.count("!") + text.count("?")
-        if in_link[element]:
+        if in_link[within]:
             links[element] += size
     own = list(chars)
     elements, paragraphs, inputs, blocks, holds = [1] * n, [0] * n, [0] * n, [0] * n, [0] * n
@@ -102,12 +103,12 @@ def page_features(page: Page) -> tuple[list[int], np.ndarray]:
         good, bad = bool(tokens[i] & GOOD), bool(tokens[i] & BAD)
         if t in SCORED:
             scored.append(i)
-            brothers = children[p]
+            brothers = children.get(p, 1)
             rows.append([
                 *(float(t in g) for g in GROUPS.values()), good, bad, in_good[p], in_bad[p], t_good[p], t_bad[p], min(depth[i], 30),
                 np.log1p(chars[i]), chars[i] / total, links[i] / max(1, chars[i]), words[i] / max(1, blocks[i]), min(stops[i], 50),
                 min(elements[i], 500), min(paragraphs[i], 100), min(inputs[i], 20), (start[i] if start[i] is not None else seen) / total,
-                order[i] / brothers, min(brothers, 100), min(alike[p, t], 100), chars[i] / max(1, chars[p]), min(holds[i], 3), min(own[i], 2000)])
+                order[i] / brothers, min(brothers, 100), min(alike.get((p, t), 1), 100), chars[i] / max(1, chars[p]), min(holds[i], 3), min(own[i], 2000), t == RUN])
         in_good[i] = in_good[p] or t in GROUPS["tag_good"]
         in_bad[i] = in_bad[p] or t in GROUPS["tag_bad"]
         t_good[i], t_bad[i] = t_good[p] or good, t_bad[p] or bad
@@ -163,7 +164,7 @@ def decoded(page: Page, scored: list[int], margin: np.ndarray) -> list[bool]:
 
 def labelled_page(seed: int) -> str:
     """A page of a usual layout; the attribute k is 1 on elements that are content or hold it, else 0."""
-    r = random.Random(seed)
+    r, bare = random.Random(seed), random.Random(-seed - 1)
     syllables = "an en er on the re ti es or ed ha st in nd ou ea le un que ich ver der lla ción os ment eau".split()
 
     def word() -> str:
@@ -229,6 +230,8 @@ def labelled_page(seed: int) -> str:
         else:
             inner.append(extra())
     body = "".join(inner)
+    if bare.random() < BARE_SHARE:
+        return bare_page(bare, title, words, tag, paragraph, extra)
     style = r.random()
     if style < 0.55:
         core = tag("article", 1, body, attribute("post", "story"))
@@ -240,6 +243,8 @@ def labelled_page(seed: int) -> str:
         core = tag("div", 1, core + (extra() if r.random() < 0.5 else ""), attribute("page", "wrapper", "container", "row"))
     head = tag("header", 0, (tag("h1", 0, words(1, 3)) if r.random() < 0.3 else words(1, 4)) + (links(2, 6) if r.random() < 0.5 else ""), attribute("header", "masthead")) if r.random() < 0.5 else ""
     nav = tag("nav", 0, links(3, 9)) if r.random() < 0.7 else ""
+    if bare.random() < 0.15:
+        nav = bare.choice(['<a href="#main" k=0>' + word() + "</a>", f"<span k=0>{words(1, 6)}</span>"]) + nav
     foot = tag("footer", 0, "&copy; " + words(2, 20) + (links(1, 4) if r.random() < 0.3 else ""), attribute("footer")) if r.random() < 0.8 else ""
     if not foot and r.random() < 0.5:
         foot = tag("div", 0, "&copy; " + words(2, 20), ' class="footer legal"')
@@ -248,6 +253,44 @@ def labelled_page(seed: int) -> str:
     return f"<html><head><title>{title}</title><style>p{{}}</style></head><body>{head}{nav}{before}{core}{after}{foot}</body></html>"
 
 
+def bare_page(r: random.Random, title: str, words, tag, paragraph, extra) -> str:
+    """A page whose article is loose text, between line breaks or other blocks; words, tag, paragraph and extra make parts."""
+
+    def text() -> str:
+        out = words(1, 6) if r.random() < 0.2 else words(5, 90)
+        if r.random() < 0.2:
+            out += f" <b>{words(1, 6)}</b> " + words(1, 12)
+        if r.random() < 0.15:
+            out += f' <a href="/x">{words(1, 3)}</a> ' + words(1, 12)
+        return out
+
+    def article() -> str:
+        out = [tag("h1", 1, title)] if r.random() < 0.5 else []
+        for _ in range(r.randint(1, 6)):
+            roll = r.random()
+            if roll < 0.65:
+                out.append(r.choice(["<br>", "<br><br>"]).join(text() for _ in range(r.randint(1, 4))))
+            else:
+                out.append(paragraph(1) + "</p>" if roll < 0.85 else tag("h2", 1, words(1, 6)) if roll < 0.93 else "<hr>")
+        return "".join(out)
+
+    def junk() -> str:
+        if r.random() < 0.4:
+            return extra()
+        if r.random() < 0.5:
+            return " | ".join(f'<a k=0 href="/x">{words(1, 2)}</a>' for _ in range(r.randint(2, 8)))
+        return r.choice([f"<small k=0>&copy; {words(2, 12)}</small>", f'<span k=0 class="copyright">{words(2, 12)}</span>'])
+
+    inline = r.choice(["", "", "b", "span", "font", "my-story"])
+    core = article() if r.random() < 0.75 else text()
+    core = tag(inline, 1, core) if inline else core
+    if r.random() < 0.3:  # nothing else on the page
+        return core if inline else f"<body k=1>{core}"
+    before = junk() + "<hr>" if r.random() < 0.5 else ""
+    after = "<hr>" + junk() if r.random() < 0.7 else ""
+    return f"<html><head><title>{title}</title></head><body k=1>{before}{core}{after}</body></html>"
+
+
 def labelled_samples(spark: SparkSession, pages: int = SAMPLE_PAGES, first: int = 0) -> DataFrame:
     """Features and label of every block element of generated pages."""
 

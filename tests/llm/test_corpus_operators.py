@@ -243,6 +243,22 @@ def test_odd_pages(spark, trees):
     assert extract.extract(frame.limit(0), trees).collect() == []
 
 
+def test_text_outside_blocks(spark, trees):
+    """An article that stands directly in body or in inline elements, and a page without tags, give their text."""
+    one = "The river rose above the lower bridge during the night, and by morning the old market was under water."
+    two = "Nobody was hurt, the mayor said, but the repair of the houses will take until late in the summer."
+    both = f"{one}<br><br>{two}"
+    sources = ["plain", both, f"<html><body>{both}</body></html>", f"<body><b>{both}</b></body>", f"<body><font>{both}</font>", f"<my-story>{both}</my-story>",
+               f"<body><h1>Flood</h1>{one}<p>{two}</p>{one}</body>"]
+    want = ["plain", *[f"{one} {two}"] * 5, f"Flood\n\n{one}\n\n{two}\n\n{one}"]
+    assert extract.extract_texts(sources, trees) == want
+    nav = "".join(f'<li><a href="/{i}">Page {i}</a></li>' for i in range(6))
+    page = f'<html><body><nav><ul>{nav}</ul></nav>{both}<hr><a href="/a">About</a> | <a href="/b">Contact</a> | <a href="/c">Jobs</a></body></html>'
+    assert extract.extract_texts([page], trees) == [f"{one} {two}"]
+    odd = ["</p></div>z<br>q", "<p>one<p>two &amp; three", "<script>x"]
+    assert extract.extract_texts(odd, trees) == ["z q", "one\n\ntwo & three", ""]
+
+
 # ---- conversations
 
 

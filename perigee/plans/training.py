@@ -108,24 +108,25 @@ def estimator(name: str, rows: int, settings: Settings, overrides: dict | None =
     return Pipeline(stages=[*before, VectorAssembler(inputCols=list(columns), outputCol="features"), model])
 
 
-def training_rows(df: DataFrame, task: str) -> DataFrame:
-    """Features, label and (for classifiers) the balanced class weight."""
+def training_rows(df: DataFrame, task: str, *more: str) -> DataFrame:
+    """Features, label and (for classifiers) the balanced class weight, and more columns."""
     if task == "reg":
-        return df.select(*REG_FEATURES, "label")
-    return df.select(*CLF_FEATURES, "label", weight_column(df, "label").alias("weight"))
+        return df.select(*REG_FEATURES, "label", *more)
+    return df.select(*CLF_FEATURES, "label", weight_column(df, "label").alias("weight"), *more)
 
 
 @contextmanager
 def cached_rows(df: DataFrame, task: str) -> Iterator[tuple[DataFrame, int]]:
     """Training rows held in memory or on disk for the passes of a fit, and their number.
 
-    A small table that came in fewer partitions than there are cores is spread over the cores.
+    MLlib draws bags and subsamples by partition and place, so rows are dealt by key into a number of partitions that
+    follows from the row count alone, and sorted there: the same rows give the same draws on any cluster.
     """
-    rows, n = training_rows(df, task), df.count()
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_CORE))
-    if rows.rdd.getNumPartitions() < wanted:
-        rows = rows.repartition(wanted)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    key = [c for c in ("row_key",) if c in df.columns]
+    rows, n = training_rows(df, task, *key), df.count()
+    plain = [c for c in rows.columns if c not in key]
+    rows = rows.repartition(max(1, math.ceil(n / ROWS_PER_CORE)), *(key or plain)).sortWithinPartitions(*key, *plain)
+    rows = rows.select(*plain).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows, n
     finally:

@@ -54,6 +54,16 @@ def test_partition_folders_are_pruned(prepared):
     assert "PartitionFilters" in plan and "split" in plan.split("PartitionFilters")[1][:200]
 
 
+@pytest.mark.parametrize("name, overrides", [("RandomForestRegressor", None), ("GradientBoostingRegressor", {"subsamplingRate": 0.5})])
+def test_fit_does_not_depend_on_partitions(prepared, monkeypatch, name, overrides):
+    monkeypatch.setattr(training, "ROWS_PER_CORE", 100)
+    rows, found = prepared.load("reg", "train"), []
+    for parts in (2, 8):
+        model = training.fit(name, "reg", rows.repartition(parts), SMALL, overrides)
+        found.append({r["row_key"]: r["prediction"] for r in training.predictions(model, rows, "reg").collect()})
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
 def test_baselines(trained):
     for task, names in (("clf", training.CLASSIFIERS), ("reg", training.REGRESSORS)):
         assert [m["model"] for m in trained[task].metrics] == names

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.session import fresh_path
+
 #: Rows handed to Python code at a time inside an Arrow batch.
 ROWS_AT_ONCE = 256
 
@@ -90,3 +92,17 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 def packed(df: DataFrame, *needed: Column) -> DataFrame:
     """Whole rows as the struct `row`, beside the needed columns: helper columns can't clash with the rows' own."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *needed)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a written table in the shared folder: read again without its lineage, a column at a time."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

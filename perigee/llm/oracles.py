@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perigee.llm import quality
+from perigee.llm import clustering, quality
 from perigee.llm.neardup import PERCENT, SHINGLE
 from perigee.llm.template import END, HEAD
 from perigee.llm.warc import REVISIT_BYTES
@@ -94,4 +94,26 @@ reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, e.b FROM
 SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
-ORACLES = {"op1_warc": WARC, "op5_quality": _quality(), "op6_near_duplicates": NEAR, "op8_chat": CHAT}
+
+
+def _clusters() -> str:
+    c = clustering
+    assigned = """a{i} AS MATERIALIZED (SELECT r, vec_id, v, k, dist FROM (SELECT r, vec_id, v, k,
+  list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist FROM d, c{i}) x
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, k) = 1)"""
+    moved = """c{j} AS MATERIALIZED (SELECT k, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM (
+    SELECT k, i, sum(x) AS s, count(*) AS n FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) y GROUP BY k, i) z
+  GROUP BY k) w USING (k))"""
+    rounds = ",\n".join(assigned.format(i=i) + ",\n" + moved.format(i=i, j=i + 1) for i in range(c.ROUNDS))
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: cast(floor({c.SCALE} * cast(x AS double)) AS bigint)) AS v
+  FROM embeddings WHERE len(embedding) = {c.COMPONENTS}
+  AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x) AND abs(x) < {c.LARGEST // c.SCALE}, false)))),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS k, v AS c FROM d WHERE vec_id IS NOT NULL QUALIFY k < {c.CENTROIDS}),
+{rounds},
+{assigned.format(i=c.ROUNDS)}
+SELECT vec_id, cast(k AS int) AS cluster, cast(dist AS bigint) AS distance, cast(sum(dist) OVER (PARTITION BY k) AS bigint) AS cluster_inertia,
+  cast(sum(dist) OVER () AS bigint) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{c.ROUNDS} JOIN c{c.ROUNDS} USING (k)"""
+
+
+ORACLES = {"op12_clustering": _clusters(), "op1_warc": WARC, "op5_quality": _quality(), "op6_near_duplicates": NEAR, "op8_chat": CHAT}

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from perigee.llm.alignment import op13_alignment
 from perigee.llm.bpe import op3_bpe
 from perigee.llm.chat import op8_chat
+from perigee.llm.clustering import op12_clustering
 from perigee.llm.decontaminate import op4_decontamination
 from perigee.llm.extract import op7_extract
 from perigee.llm.neardup import op6_near_duplicates
 from perigee.llm.oracles import ORACLES
+from perigee.llm.packing import op11_packing
 from perigee.llm.pii import op2_pii
 from perigee.llm.quality import op5_quality
 from perigee.llm.secrets import op10_secrets
@@ -31,5 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
+    "op11_packing": op11_packing,
+    "op12_clustering": op12_clustering,
+    "op13_alignment": op13_alignment,
 }
 

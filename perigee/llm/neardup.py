@@ -1,7 +1,8 @@
 """MinHash near-duplicates with odd sketches, confirmed on full shingle sets.
 
 1. Each text becomes its set of five-word shingles (64-bit fingerprints). Equal sets are one class from here on.
-2. MinHash bands put classes into buckets. A bucket's members are first paired with its smallest member only.
+2. MinHash bands put classes into buckets. A class is first paired with the smallest member of its buckets that it
+   shares most of them with.
 3. A pair's odd sketch (parity bitmap of a coordinated MinHash sample of each set, whole sets when small) bounds its
    similarity: the population count of the XOR estimates the symmetric difference. Pairs below the bound minus
    4.5 standard deviations go, all others are confirmed exactly on the full sets.
@@ -151,7 +152,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(low.hint("shuffle_hash"), F.col("__id").eqNullSafe(F.col("__low")), "left_semi")
     sets = map_rows(rows.select("text"), task, "set_key binary, shingles array<long>, level int, c0 int, s0 array<long>, c1 int, s1 array<long>")
     one = sets.groupBy("set_key").agg(*[F.first(c).alias(c) for c in ("shingles", "level", "c0", "s0", "c1", "s1")])
-    return wanted.select("cid", "set_key").join(one, "set_key").drop("set_key")
+    return _with(wanted.select("cid", "set_key"), one, "set_key").drop("set_key")
 
 
 def _side(info: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -161,7 +162,7 @@ def _side(info: DataFrame, name: str, *columns: str) -> DataFrame:
 def _passing(pairs: DataFrame, info: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sketches allow the least similarity."""
     columns = ("level", "c0", "s0", "c1", "s1")
-    df = pairs.join(_side(info, "a", *columns), "a").join(_side(info, "b", *columns), "b")
+    df = _with(_with(pairs, _side(info, "a", *columns), "a"), _side(info, "b", *columns), "b")
     la, lb = F.col("a_level"), F.col("b_level")
 
     def at(side: str, other: Column, what: str) -> Column:
@@ -176,59 +177,77 @@ def _passing(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, info: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough."""
-    df = pairs.join(_side(info, "a", "shingles"), "a").join(_side(info, "b", "shingles"), "b")
+    df = _with(_with(pairs, _side(info, "a", "shingles"), "a"), _side(info, "b", "shingles"), "b")
     a, b = F.col("a_shingles"), F.col("b_shingles")
     both = F.size(F.array_intersect(a, b))
     return df.select("a", "b", both.alias("both"), (F.size(a) + F.size(b)).alias("sizes")).filter(
         F.col("both") * 100 >= PERCENT * (F.col("sizes") - F.col("both"))).select("a", "b")
 
 
+def _with(df: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A sorted join. Tables of classes and links grow with the corpus, so none is broadcast, however small here."""
+    return df.join(other.hint("merge"), on, how)
+
+
 def contract(edges: DataFrame) -> DataFrame:
-    """Columns node and root (smallest node reachable) for all nodes of edges (a, b); tables only, nothing collected."""
-    e = stable(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).filter("u != v").distinct())
-    nodes = e.select(F.col("u").alias("node")).distinct().withColumn("root", F.col("node"))
-    while not e.isEmpty():
-        step = stable(e.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")))
-        while True:  # pointers to pointers, until all point to where a pointer stays
-            onward = step.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-            jumped = stable(step.join(onward, "p").select("u", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved")))
-            step = jumped.select("u", "p")
-            if jumped.filter("moved").isEmpty():
-                break
-        to = lambda name, out: step.select(F.col("u").alias(name), F.col("p").alias(out))
-        nodes = stable(nodes.join(to("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root")))
-        e = stable(e.join(to("u", "pu"), "u").join(to("v", "pv"), "v").filter("pu != pv").select(
-            F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
-    return nodes
+    """Columns node and root (smallest node reachable) for all nodes of edges (a, b); tables only, nothing collected.
+
+    Large and small stars in turn: first the larger neighbours of each node move to its smallest neighbour, then the
+    smaller ones and the node itself, until no edge changes. One saved table a round.
+    """
+    first = e = stable(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    nodes = first.select(F.col("u").alias("node")).union(first.select("v")).distinct()
+    before = None
+    while True:
+        e = e if e is first else stable(e)
+        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == before or not now[0]:
+            break
+        before = now
+        both = e.union(e.select("v", "u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = _with(both, least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        e = _with(large, least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least).distinct()
+    return _with(nodes, e.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels (cid, root) after the links (a, b) between classes."""
-    a = links.join(labels.select(F.col("cid").alias("a"), F.col("root").alias("ra")), "a")
-    roots = a.join(labels.select(F.col("cid").alias("b"), F.col("root").alias("rb")), "b")
+    a = _with(links, labels.select(F.col("cid").alias("a"), F.col("root").alias("ra")), "a")
+    roots = _with(a, labels.select(F.col("cid").alias("b"), F.col("root").alias("rb")), "b")
     step = contract(roots.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    return stable(labels.join(step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+    return stable(_with(labels, step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
                   .select("cid", F.coalesce("next", "root").alias("root")))
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     side = lambda n: labels.select(F.col("cid").alias(n), F.col("root").alias(f"r{n}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter("ra != rb").select("a", "b")
+    return _with(_with(pairs, side("a"), "a"), side("b"), "b").filter("ra != rb").select("a", "b")
 
 
 def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame, bands: DataFrame, spanning: bool) -> DataFrame:
     """Pairs across components, inside buckets (bucket, cid) that hold several, whose sketches pass.
 
-    A pair is looked at in the first bucket that it shares only. With spanning, each block emits just a forest over
-    its components, the most similar pairs first; else all of its pairs.
+    The members of a bucket's largest component are cut into blocks, and every block meets the members outside it;
+    those outside are cut into blocks as well and meet each other. So a bucket that is one component but for a few
+    costs its size. A pair is looked at in the first bucket that it shares only. With spanning, each block emits just
+    a forest over its components, the most similar pairs first; else all of its pairs.
     """
-    members = buckets.join(labels, "cid")
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    opened = sizes.filter("lo != hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))  # two members were a pair before
-    mine = members.join(opened, "bucket").withColumn("mine", F.pmod(F.xxhash64("cid"), "parts").cast("int"))
-    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid", "root")
-    rows = dealt.join(info.select("cid", "level", "c0", "s0", "c1", "s1"), "cid").join(bands, "cid")
+    members = _with(buckets, labels, "cid")
+    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    opened = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("k")).filter("k > 1 and n > 2")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    opened = opened.select("bucket", F.col("top.root").alias("top"), blocks(F.col("top.n")).alias("ins"), blocks(F.col("n") - F.col("top.n")).alias("outs"))
+    mine = _with(members, opened, "bucket").withColumn("inside", F.col("root") == F.col("top")).withColumn(
+        "mine", F.pmod(F.xxhash64("cid"), F.when(F.col("inside"), F.col("ins")).otherwise(F.col("outs"))).cast("int"))
+    # places (i, j, side): rows of one side meet those of the other, and each other where i = j
+    place = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("mine"))
+    against = F.transform(F.sequence(F.lit(0), F.col("ins") - 1), lambda x: place(-x - 1, x, F.lit(1)))
+    outside = F.transform(F.sequence(F.lit(0), F.col("outs") - 1), lambda x: place(F.least("mine", x), F.greatest("mine", x), F.col("mine")))
+    places = F.when(F.col("inside"), F.array(place(-F.col("mine") - 1, F.col("mine"), F.lit(0)))).otherwise(F.concat(against, outside))
+    dealt = mine.select("bucket", "cid", "root", F.explode(places).alias("p")).select("bucket", "p.i", "p.j", "p.mine", "cid", "root")
+    rows = _with(_with(dealt, info.select("cid", "level", "c0", "s0", "c1", "s1"), "cid"), bands, "cid")
 
     def compare(block: list[tuple]) -> list[tuple[int, int]]:
         bucket, i, j = block[0][:3]
@@ -302,28 +321,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stable(own)
     entries = classes.select("cid", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.min("cid").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    buckets = stable(entries.join(shared.select("bucket", "leader"), "bucket"))
+    buckets = stable(_with(entries, shared, "bucket"))
     stars = stable(buckets.filter("cid != leader").groupBy(F.col("cid").alias("a"), F.col("leader").alias("b")).agg(F.count("*").alias("shared")))
     member = buckets.select("cid").distinct()
-    wanted = classes.select("cid", "set_key", "low").join(member, "cid", "left_semi")
+    wanted = _with(classes.select("cid", "set_key", "low"), member, "cid", "left_semi")
     info = stable(_sets(docs, wanted))
-    labels = info.select("cid", F.col("cid").alias("root"))
+    # the most similar leader of each member, and both members of buckets of two; blocks see all that is left
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-    for pairs in (best, stars.select("a", "b")):
-        links = stable(_confirmed(_passing(_across(pairs, labels), info), info))
-        labels = _merged(labels, links)
+    twos = buckets.filter("n = 2 and cid != leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"))
+    links = stable(_confirmed(_passing(best.union(twos).distinct(), info), info))
+    labels = _merged(info.select("cid", F.col("cid").alias("root")), links)
     keys = classes.select("cid", "bands")
     for spanning in (True, False):
         pairs = _blocked_pairs(buckets.select("bucket", "cid"), labels, info, keys, spanning)
         links = stable(_confirmed(_across(pairs, labels), info))
         labels = _merged(labels, links)
 
-    lows = labels.join(classes.select("cid", "low"), "cid")
+    lows = _with(labels, classes.select("cid", "low"), "cid")
     smallest = lows.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n")).filter("n > 1")
-    merged = lows.join(smallest.select("root", "component"), "root").select("cid", "component", F.lit(True).alias("linked"))
-    of_class = classes.select("cid", "set_key", "low").join(merged, "cid", "left").select(
+    merged = _with(lows, smallest.select("root", "component"), "root").select("cid", "component", F.lit(True).alias("linked"))
+    of_class = _with(classes.select("cid", "set_key", "low"), merged, "cid", "left").select(
         "set_key", F.when(F.col("linked"), F.col("component")).otherwise(F.col("low")).alias("component"))
-    out = profiles.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    out = _with(profiles.select("doc_id", "n_shingles", "set_key"), of_class, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))

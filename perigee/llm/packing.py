@@ -14,6 +14,7 @@ ordered or gathered in one task.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from perigee.llm.bytebpe import ByteBpe
+from perigee.llm.bytebpe import byte_bpe
 from perigee.llm.common import ROWS_AT_ONCE, map_rows, table, tokenizer_path, written
 
 #: Tokens of a window, id at the end of each document.
@@ -123,19 +124,21 @@ def fill(counts: Sequence[int], window: int = WINDOW) -> Plan:
 
 
 def _tokens(docs: DataFrame, path: str, window: int, end: int, text: str, key: str) -> DataFrame:
-    """Ids (little-endian unsigned 32-bit) of each document, with its place among those of its part."""
+    """Ids of each document (little-endian unsigned 16-bit where they fit, else 32-bit), and its place among those of its part."""
 
     def task():
-        bpe, part = ByteBpe(path), TaskContext.get().partitionId()
+        bpe, part = byte_bpe(path), TaskContext.get().partitionId()
         ranks, whole = [0] * window, 0
 
         def work(columns):
             nonlocal whole
-            out: dict[str, list] = {"key": columns[0], "part": [part] * len(columns[0]), "tail": [], "rank": [], "whole": [], "ids": []}
+            out: dict[str, list] = {"key": columns[0], "part": [part] * len(columns[0]), "size": [], "tail": [], "rank": [], "whole": [], "ids": []}
             for t in columns[1]:
-                ids = np.array([*bpe.ids(t or ""), end], "<u4")
+                ids = bpe.ids(t or "")
+                ids.append(end)
                 n, tail = divmod(len(ids), window)
-                out["ids"].append(ids.tobytes())
+                out["ids"].append(array("H" if max(ids) < 1 << 16 else "I", ids).tobytes())
+                out["size"].append(len(ids))
                 out["tail"].append(tail)
                 out["rank"].append(ranks[tail])
                 out["whole"].append(whole)
@@ -146,7 +149,7 @@ def _tokens(docs: DataFrame, path: str, window: int, end: int, text: str, key: s
         return work
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_rows(docs.select(key, text), task, f"key {kind}, part long, tail int, rank long, whole long, ids binary")
+    return map_rows(docs.select(key, text), task, f"key {kind}, part long, size long, tail int, rank long, whole long, ids binary")
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END_ID, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -173,9 +176,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END_ID, te
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, ROWS_AT_ONCE):
                 batch = whole_batch.slice(at, ROWS_AT_ONCE)
-                part, tail, rank, whole = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, 5))
-                ids = batch.column(5).to_pylist()
-                size = np.array([len(x) // 4 for x in ids], np.int64)
+                part, size, tail, rank, whole = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, 6))
+                ids = [np.frombuffer(x, f"<u{len(x) // n}").astype("<u4") for x, n in zip(batch.column(6).to_pylist(), size.tolist(), strict=True)]
                 n = size // window
                 row = np.repeat(np.arange(len(n)), n)
                 i = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -185,13 +187,13 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END_ID, te
                     found.append((which, start[which], placed, sequence, offset))
                     start[which] += placed
                 row, start, placed, sequence, offset = map(np.concatenate, zip(*found, strict=True))
-                cut = [ids[r][4 * s : 4 * (s + k)] for r, s, k in zip(row.tolist(), start.tolist(), placed.tolist(), strict=True)]
+                cut = [ids[r][s : s + k].tobytes() for r, s, k in zip(row.tolist(), start.tolist(), placed.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row)), pa.array(start), pa.array(placed), pa.array(cut, pa.binary()), pa.array(size[row]),
                      pa.array(sequence), pa.array(offset)],
                     names=[key, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
-    placed = tokens.join(base, ["part", "tail"]).select("key", "part", "tail", (F.col("rank") + F.col("base")).alias("rank"), "whole", "ids")
+    placed = tokens.join(base, ["part", "tail"]).select("key", "part", "size", "tail", (F.col("rank") + F.col("base")).alias("rank"), "whole", "ids")
     return placed.mapInArrow(run, schema)
 
 

@@ -246,12 +246,11 @@ def brute_alignment(texts):
             continue
         ends_a, ends_b = list(itertools.accumulate(map(len, ta))), list(itertools.accumulate(map(len, tb)))
         common = sorted(set(ends_a) & set(ends_b))
-        groups, low = [], 0
+        groups, x, y = [], 0, 0
         for end in common:
-            ga = [i for i, e in zip(ia, ends_a) if low < e <= end]
-            gb = [i for i, e in zip(ib, ends_b) if low < e <= end]
-            groups.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
-            low = end
+            u, v = ends_a.index(end, x) + 1, ends_b.index(end, y) + 1
+            groups.append(",".join(map(str, ia[x:u])) + "|" + ",".join(map(str, ib[y:v])))
+            x, y = u, v
         pairs = Counter()
         j = 0
         for i, e in enumerate(ends_a):
@@ -278,13 +277,10 @@ FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 
 
 @pytest.mark.parametrize("chunk,postings", [(8192, 2_000_000), (16, 2_000_000), (8192, 300)])
-def test_alignment_of_all_documents(spark, monkeypatch, chunk, postings):
-    monkeypatch.setattr(alignment, "CHUNK", chunk)
-    monkeypatch.setattr(alignment, "PLAIN", chunk // 8)
-    monkeypatch.setattr(alignment, "POSTINGS", postings)
+def test_alignment_of_all_documents(spark, chunk, postings):
     rows = [(i, t) for i, t in enumerate(EDGE_TEXTS + ODD + ["the same words again " * 40] * 60)]
     rows += [(1000 + r["doc_id"], r["text"]) for r in table(spark, SF, "documents").filter("doc_id < 60").collect()]
-    docs, pairs = alignment.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), A, B)
+    docs, pairs = alignment.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), A, B, chunk=chunk, most=postings)
     want, count, links = brute_alignment([t for _, t in rows])
     got = {r["doc_id"]: r for r in docs.collect()}
     assert len(got) == len(rows)
@@ -301,7 +297,7 @@ def test_bitmaps_in_both_forms_round_trip():
     runs = [np.sort(rng.choice(alignment.CHUNK, n, replace=False)) for n in (1, 3, 511, 512, 513, 8192, 2)]
     starts = np.cumsum([0, *map(len, runs)])[:-1]
     bitmaps = alignment.compressed(np.concatenate(runs), starts)
-    assert max(len(x.as_py()) for x in bitmaps) == alignment.PLAIN
+    assert max(len(x.as_py()) for x in bitmaps) == alignment.CHUNK // 8
     for part in (bitmaps, bitmaps.slice(2, 4)):
         places, source = alignment.decoded(part)
         first = 0 if part is bitmaps else 2

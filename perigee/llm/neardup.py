@@ -1,8 +1,7 @@
 """MinHash near-duplicates with odd sketches, confirmed on full shingle sets.
 
 1. Each text becomes its set of five-word shingles (64-bit fingerprints). Equal sets are one class from here on.
-2. MinHash bands put classes into buckets. A class is first paired with the smallest member of its buckets that it
-   shares most of them with.
+2. MinHash bands put classes into buckets. A bucket's members are first paired with its smallest member only.
 3. A pair's odd sketch (parity bitmap of a coordinated MinHash sample of each set, whole sets when small) bounds its
    similarity: the population count of the XOR estimates the symmetric difference. Pairs below the bound minus
    4.5 standard deviations go, all others are confirmed exactly on the full sets.
@@ -231,21 +230,26 @@ def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame, bands
 
     The members of a bucket's largest component are cut into blocks, and every block meets the members outside it;
     those outside are cut into blocks as well and meet each other. So a bucket that is one component but for a few
-    costs its size. A pair is looked at in the first bucket that it shares only. With spanning, each block emits just
-    a forest over its components, the most similar pairs first; else all of its pairs.
+    costs its size. With spanning, a class enters its largest such bucket only and each block emits just a forest
+    over its components, the most similar pairs first. Else all pairs are looked at, each in the first bucket that it
+    shares (half a bucket's key tells buckets of a band apart, wrongly for one pair in 10^8).
     """
     members = _with(buckets, labels, "cid")
     parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     opened = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("k")).filter("k > 1 and n > 2")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     opened = opened.select("bucket", F.col("top.root").alias("top"), blocks(F.col("top.n")).alias("ins"), blocks(F.col("n") - F.col("top.n")).alias("outs"))
+    if spanning:
+        largest = _with(members, opened.select("bucket", (F.col("ins") + F.col("outs")).alias("size")), "bucket")
+        members = _with(members, largest.groupBy("cid").agg(F.max_by("bucket", F.struct("size", "bucket")).alias("bucket")), ["cid", "bucket"])
     mine = _with(members, opened, "bucket").withColumn("inside", F.col("root") == F.col("top")).withColumn(
         "mine", F.pmod(F.xxhash64("cid"), F.when(F.col("inside"), F.col("ins")).otherwise(F.col("outs"))).cast("int"))
     # places (i, j, side): rows of one side meet those of the other, and each other where i = j
     place = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("mine"))
-    against = F.transform(F.sequence(F.lit(0), F.col("ins") - 1), lambda x: place(-x - 1, x, F.lit(1)))
-    outside = F.transform(F.sequence(F.lit(0), F.col("outs") - 1), lambda x: place(F.least("mine", x), F.greatest("mine", x), F.col("mine")))
-    places = F.when(F.col("inside"), F.array(place(-F.col("mine") - 1, F.col("mine"), F.lit(0)))).otherwise(F.concat(against, outside))
+    all_of = lambda n, f: F.transform(F.sequence(F.lit(0), F.col(n) - 1), f)
+    met = F.when(F.col("inside"), all_of("outs", lambda x: place(-F.col("mine") - 1, x, F.lit(0))))
+    places = met.otherwise(F.concat(all_of("ins", lambda x: place(-x - 1, F.col("mine"), F.lit(1))),
+                                    all_of("outs", lambda x: place(F.least("mine", x), F.greatest("mine", x), F.col("mine")))))
     dealt = mine.select("bucket", "cid", "root", F.explode(places).alias("p")).select("bucket", "p.i", "p.j", "p.mine", "cid", "root")
     rows = _with(_with(dealt, info.select("cid", "level", "c0", "s0", "c1", "s1"), "cid"), bands, "cid")
 
@@ -254,8 +258,8 @@ def _blocked_pairs(buckets: DataFrame, labels: DataFrame, info: DataFrame, bands
         side = np.array([r[3] for r in block])
         cid, root = np.array([r[4] for r in block]), np.array([r[5] for r in block])
         level = np.array([r[6] for r in block])
-        keys = np.array([r[11] for r in block], np.int64)
-        band = int(np.flatnonzero(keys[0] == bucket)[0])
+        keys = np.array([r[11] for r in block], np.int32)
+        band = 0 if spanning else int(np.flatnonzero(keys[0] == bucket >> 32)[0])
         out: list[tuple[float, int, int]] = []
         for lv in range(level.min(), level.max() + 1):
             # partners at this level: own sketches of the level, next-level sketches of the level below
@@ -326,12 +330,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = buckets.select("cid").distinct()
     wanted = _with(classes.select("cid", "set_key", "low"), member, "cid", "left_semi")
     info = stable(_sets(docs, wanted))
-    # the most similar leader of each member, and both members of buckets of two; blocks see all that is left
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-    twos = buckets.filter("n = 2 and cid != leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"))
-    links = stable(_confirmed(_passing(best.union(twos).distinct(), info), info))
-    labels = _merged(info.select("cid", F.col("cid").alias("root")), links)
-    keys = classes.select("cid", "bands")
+    labels = _merged(info.select("cid", F.col("cid").alias("root")), stable(_confirmed(_passing(best, info), info)))
+    labels = _merged(labels, stable(_confirmed(_passing(_across(stars.select("a", "b"), labels), info), info)))
+    keys = classes.select("cid", F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("bands"))
     for spanning in (True, False):
         pairs = _blocked_pairs(buckets.select("bucket", "cid"), labels, info, keys, spanning)
         links = stable(_confirmed(_across(pairs, labels), info))

@@ -36,6 +36,8 @@ BANDS, BAND_ROWS = 32, 4
 SKETCH_BITS, SAMPLE, DEVIATIONS = 2048, 512, 4.5
 #: Members of a bucket that are compared with each other in one block.
 BLOCK = 512
+#: Rows of a partition of tables with two numbers a row.
+NARROW_ROWS = 100_000
 _WORDS_REMEMBERED = 300_000
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -188,6 +190,11 @@ def _with(df: DataFrame, other: DataFrame, on: str | list[str], how: str = "inne
     return df.join(other.hint("merge"), on, how)
 
 
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """df in partitions for so many narrow rows: each file of a shuffle takes room, and small tables have many shuffles."""
+    return df.coalesce(max(1, math.ceil(rows / NARROW_ROWS)))
+
+
 def contract(edges: DataFrame) -> DataFrame:
     """Columns node and root (smallest node reachable) for all nodes of edges (a, b); tables only, nothing collected.
 
@@ -202,22 +209,23 @@ def contract(edges: DataFrame) -> DataFrame:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
-        before = now
-        both = e.union(e.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _with(both, least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = _with(large, least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least).distinct()
+        before, e = now, _few(e, now[0])
+        both = e.union(_few(e.select("v", "u"), now[0]))
+        least = _few(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), 2 * now[0])
+        large = _few(_with(both, least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), now[0])
+        least = _few(large.groupBy("u").agg(F.min("v").alias("m")), now[0])
+        small = _with(large, least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = _few(_few(small, now[0]).union(least).distinct(), now[0])
     return _with(nodes, e.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (cid, root) after the links (a, b) between classes."""
-    a = _with(links, labels.select(F.col("cid").alias("a"), F.col("root").alias("ra")), "a")
-    roots = _with(a, labels.select(F.col("cid").alias("b"), F.col("root").alias("rb")), "b")
-    step = contract(roots.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    return stable(_with(labels, step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
-                  .select("cid", F.coalesce("next", "root").alias("root")))
+def _merged(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+    """labels (cid, root), so many rows, after the links (a, b) between classes."""
+    a = _few(_with(links, labels.select(F.col("cid").alias("a"), F.col("root").alias("ra")), "a"), rows)
+    roots = _few(_with(a, labels.select(F.col("cid").alias("b"), F.col("root").alias("rb")), "b"), rows)
+    step = _few(contract(roots.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), rows)
+    moved = _with(labels, step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+    return stable(_few(moved.select("cid", F.coalesce("next", "root").alias("root")), rows))
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -331,13 +339,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = _with(classes.select("cid", "set_key", "low"), member, "cid", "left_semi")
     info = stable(_sets(docs, wanted))
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-    labels = _merged(info.select("cid", F.col("cid").alias("root")), stable(_confirmed(_passing(best, info), info)))
-    labels = _merged(labels, stable(_confirmed(_passing(_across(stars.select("a", "b"), labels), info), info)))
+    n = info.count()
+    labels = stable(_few(info.select("cid", F.col("cid").alias("root")), n))
+    labels = _merged(labels, stable(_few(_confirmed(_passing(best, info), info), n)), n)
+    labels = _merged(labels, stable(_few(_confirmed(_passing(_across(stars.select("a", "b"), labels), info), info), n)), n)
     keys = classes.select("cid", F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("bands"))
     for spanning in (True, False):
         pairs = _blocked_pairs(buckets.select("bucket", "cid"), labels, info, keys, spanning)
-        links = stable(_confirmed(_across(pairs, labels), info))
-        labels = _merged(labels, links)
+        links = stable(_few(_confirmed(_across(pairs, labels), info), n))
+        labels = _merged(labels, links, n)
 
     lows = _with(labels, classes.select("cid", "low"), "cid")
     smallest = lows.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n")).filter("n > 1")

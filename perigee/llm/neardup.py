@@ -341,12 +341,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
     n = info.count()
     labels = stable(_few(info.select("cid", F.col("cid").alias("root")), n))
-    labels = _merged(labels, stable(_few(_confirmed(_passing(best, info), info), n)), n)
-    labels = _merged(labels, stable(_few(_confirmed(_passing(_across(stars.select("a", "b"), labels), info), info), n)), n)
+    labels = _merged(labels, _few(stable(_confirmed(_passing(best, info), info)), n), n)
+    labels = _merged(labels, _few(stable(_confirmed(_passing(_across(stars.select("a", "b"), labels), info), info)), n), n)
     keys = classes.select("cid", F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("bands"))
     for spanning in (True, False):
         pairs = _blocked_pairs(buckets.select("bucket", "cid"), labels, info, keys, spanning)
-        links = stable(_few(_confirmed(_across(pairs, labels), info), n))
+        links = _few(stable(_confirmed(_across(pairs, labels), info)), n)
         labels = _merged(labels, links, n)
 
     lows = _with(labels, classes.select("cid", "low"), "cid")

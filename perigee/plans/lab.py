@@ -20,14 +20,11 @@ from perigee.plans.training import (
     metrics_table,
     train_and_score,
 )
-from perigee.plans.tuning import BOOSTED_SPACE, Param, hyper_search
+from perigee.plans.boosting import Fits
+from perigee.plans.tuning import boosted_search
 from perigee.session import fresh_path, stable
 from perigee.sources.approaches import load_approaches
 
-# The registered search: small boosted regressors and few trials, as each of 50 full trials takes minutes.
-SEARCH_TRIALS = 4
-SEARCH_SPACE = [Param("n_estimators", "int", 5, 15), Param("max_depth", "int", 3, 5), *BOOSTED_SPACE[2:]]
-
 
 @dataclass
 class Lab:
@@ -80,13 +77,11 @@ class Lab:
         table = self.test_table(task)
         return select_best(table, selection_score() if task == "clf" else table["r2"]).first()["model"]
 
-    space = SEARCH_SPACE
-
     @cached_property
-    def trials(self) -> DataFrame:
-        return stable(hyper_search(
-            "GradientBoostingRegressor", "reg", self.rows("reg", "train"), self.rows("reg", "val"),
-            self.settings, self.space, n=SEARCH_TRIALS))
+    def search(self) -> tuple[DataFrame, Fits]:
+        """Every trial of the boosted regressor over the whole space, and the fitted trials."""
+        trials, fits = boosted_search("reg", self.rows("reg", "train"), self.rows("reg", "val"), seed=self.settings.seed)
+        return stable(trials), fits
 
     @cached_property
     def scorer(self) -> Scorer:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from perigee.plans.training import CLASSIFIERS, REGRESSORS
 from perigee.plans.rules import CLASS_RULES, DISTANCE_RULES
+from perigee.plans.tuning import TRIALS
 from perigee.schema import CLASS_NAMES, CLF_FEATURES, ENGINEERED, NUMERIC_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, REG_FEATURES
 
 NEO = """neo AS (
@@ -390,8 +391,8 @@ FROM split WHERE split IN ('train', 'val')""",
     "ml9_cross_validate": f"""{SPLIT_} SELECT 'clf' AS task, cast(2 AS bigint) AS models, cast(10 AS bigint) AS fits,
   2 * count(*) FILTER (NOT hazardous) AS rows, true AS possible FROM split WHERE split = 'train'
 UNION ALL SELECT 'reg', 2, 10, count(*), true FROM split WHERE split = 'train'""",
-    "ml10_hyper_search": f"""{SPLIT_} SELECT cast(4 AS bigint) AS trials, count(*) AS rows, true AS inside, true AS measured,
-  true AS best_found FROM split WHERE split = 'val'""",
+    "ml10_hyper_search": f"""{SPLIT_} SELECT cast({TRIALS} AS bigint) AS trials, count(*) AS rows, true AS inside, cast(0 AS double) AS difference,
+  true AS beats_mean FROM split WHERE split = 'val'""",
     "ml13_feature_importance": f"SELECT cast({len(CLF_FEATURES)} AS bigint) AS features, cast(1 AS double) AS total, true AS nonnegative",
     "ml14_model_card": "SELECT true AS names, true AS classifier_metric, true AS regressor_metric",
     "ml14_metric_summary": " UNION ALL ".join(

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from perigee.functions.columns import hash_text, hash_uniform
 from perigee.operators.splits import SEED
-from perigee.plans.training import Settings, evaluate, fit, run_together
+from perigee.plans.boosting import Boosted, Fits, Lane, f1_weighted, fit_lanes, rmse
+from perigee.plans.training import Settings, evaluate, features_of, fit, run_together
 
 
 @dataclass(frozen=True)
@@ -121,6 +122,35 @@ def hyper_search(
     return draws.join(F.broadcast(scores), "trial")
 
 
+def boosted_lane(number: int, params: dict, held: int = 1) -> Lane:
+    return Lane(number, int(params["n_estimators"]), int(params["max_depth"]), float(params["learning_rate"]),
+                int(params["min_samples_split"]), float(params["subsample"]), held)
+
+
+def _part(df: DataFrame, task: str, part: int) -> DataFrame:
+    return df.select(*features_of(task), "label", "row_key", F.lit(part).alias("part"))
+
+
+def boosted_search(
+    task: str, train: DataFrame, val: DataFrame, space: list[Param] | None = None, n: int = TRIALS, seed: int = SEED
+) -> tuple[DataFrame, Fits]:
+    """hyper_search for boosted models, all trials in one pass over the binned rows; and the fitted trials."""
+    spark = train.sparkSession
+    draws = sample_params(spark, space or BOOSTED_SPACE, n, seed)
+    lanes = [boosted_lane(r["trial"], r.asDict()) for r in draws.orderBy("trial").collect()]
+    rows = _part(train, task, 0).unionByName(_part(val, task, 1))
+    fits = fit_lanes(rows, features_of(task), lanes, "logistic" if task == "clf" else "squared")
+    value = f1_weighted if task == "clf" else rmse
+    scores = spark.createDataFrame([(i, value(s)) for i, s in fits.scores().items()], "trial long, value double")
+    return draws.join(F.broadcast(scores), "trial"), fits
+
+
+def boosted_refit(task: str, rows: DataFrame, params: dict) -> Boosted:
+    """One boosted model of these parameters on all rows."""
+    fits = fit_lanes(_part(rows, task, 0), features_of(task), [boosted_lane(0, params)], "logistic" if task == "clf" else "squared")
+    return fits.model(0)
+
+
 def best_trial(trials: DataFrame, task: str) -> dict:
     order = F.desc("value") if task == "clf" else F.asc("value")
     row = trials.orderBy(order, "trial").first().asDict()

@@ -13,7 +13,6 @@ from __future__ import annotations
 import functools
 import itertools
 import json
-import os
 import re
 import unicodedata
 
@@ -22,9 +21,9 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from perigee.llm.common import map_rows, sha256, table
+from perigee.llm.common import map_rows, sha256, table, tokenizer_path
 
-WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
+WORD_BPE = tokenizer_path("word_bpe_49k.json")
 #: Words and pairs a task remembers; both memories start anew when full, which changes no result.
 REMEMBERED = 300_000
 
@@ -274,4 +273,4 @@ def digest_documents(docs: DataFrame, path: str = WORD_BPE) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole text of documents and decode it again; counts and digests per document."""
-    return digest_documents(table(spark, sf_dir, "documents"), os.environ.get("PERIGEE_WORD_BPE", WORD_BPE))
+    return digest_documents(table(spark, sf_dir, "documents"), WORD_BPE)

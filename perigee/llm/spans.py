@@ -19,6 +19,31 @@ from perigee.llm.common import let
 
 #: Characters of context kept on the left and on the right of a match.
 LEFT, RIGHT = 24, 12
+#: Steps of running sums taken at once.
+AT_ONCE = 256
+
+
+def _copied_sums(steps: Column) -> Column:
+    """Running sums; each step copies the sums before it, so only for few steps."""
+    return F.aggregate(steps, F.array().cast("array<int>"), lambda acc, n: F.concat(
+        acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + n)))
+
+
+def running_sums(steps: Column) -> Column:
+    """Running sums of an array of ints, in time that grows with its length.
+
+    More than AT_ONCE steps are cut into slices of that many, each summed on its own and then moved by the sum of the
+    slices before it.
+    """
+
+    def cut(x: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(x), F.lit(AT_ONCE))
+        inner = F.transform(starts, lambda i: _copied_sums(F.slice(x, i, AT_ONCE)))
+        return let(inner, lambda sums: F.flatten(F.zip_with(
+            sums, let(_copied_sums(F.transform(sums, lambda s: F.element_at(s, -1))), lambda after: F.concat(F.array(F.lit(0)), after)),
+            lambda s, before: F.transform(F.coalesce(s, F.array().cast("array<int>")), lambda v: v + before))))
+
+    return let(steps, lambda x: F.when(F.size(x) <= AT_ONCE, _copied_sums(x)).otherwise(cut(x)))
 
 
 def found(text: Column, kind: int, pattern: str, group: int | None = None) -> Column:
@@ -31,8 +56,7 @@ def found(text: Column, kind: int, pattern: str, group: int | None = None) -> Co
     def build(x: Column) -> Column:
         hits, pieces = x["hits"], x["pieces"]
         steps = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.char_length(p) + F.char_length(h))
-        ends = F.aggregate(steps, F.array().cast("array<int>"), lambda acc, n: F.concat(
-            acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + n)))
+        ends = running_sums(steps)
         return F.transform(
             F.arrays_zip(hits.alias("hit"), ends.alias("end"), F.slice(pieces, 1, F.size(hits)).alias("before"),
                          F.slice(pieces, 2, F.size(hits)).alias("after"), x["parts"].alias("part")),

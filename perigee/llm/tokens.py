@@ -13,9 +13,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perigee.llm.common import map_rows, table
+from perigee.llm.common import map_rows, table, tokenizer_path
 
-BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+BYTE_BPE = tokenizer_path("byte_bpe_50k.json")
 #: Characters of a chunk, of the first overlap, and between a splice and the left chunk's end. The margin is
 #: longer than any special string and any lookahead of the split pattern.
 CHUNK, OVERLAP, MARGIN = 32_768, 512, 64
@@ -104,4 +104,4 @@ def count_tokens(
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every whole text of documents."""
-    return count_tokens(table(spark, sf_dir, "documents"), os.environ.get("PERIGEE_BYTE_BPE", BYTE_BPE))
+    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)

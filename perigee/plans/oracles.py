@@ -209,7 +209,7 @@ FROM (SELECT approach_id, CASE WHEN est_diameter_min > 0.08 THEN 'TRUE' WHEN est
     "src4_flag_to_int": f"{NEO_} SELECT approach_id, cast(hazardous AS int) AS hazardous, cast(sentry_object AS int) AS sentry FROM neo",
     "snk1_upsert": f"""{NEO_} SELECT approach_id, {RAW} FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY hazardous DESC, approach_id DESC) AS rn FROM neo) x WHERE rn = 1""",
-    "snk2_append_features": f"{FEAT_} SELECT {_FEATURE_ROW} FROM feat",
+    "snk2_append_features": f"{FEAT_} SELECT approach_id, {_FEATURE_ROW} FROM feat",
     "snk3_create_table_if_missing": f"""{FEAT_} SELECT id AS sourceNeoId, cast(hazardous AS int) AS hazardous, count(*) AS rows,
   round(sum(diameter_avg), 9) AS diameter_sum FROM feat GROUP BY ALL""",
     "snk4_write_splits": f"""{SPLIT_} SELECT task, split, count(*) AS rows, round(avg(label), 9) AS label_mean,

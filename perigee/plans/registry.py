@@ -108,9 +108,10 @@ def snk1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snk2_append_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = src.load_approaches(spark, sf_dir)
     path = fresh_path(spark, "features")
-    tables.append_features(tables.feature_rows(browse.safe(a)), path)
-    tables.append_features(tables.feature_rows(browse.hazardous(a)), path)
-    return rounded(spark.read.parquet(path))
+    safe, hazardous = (tables.feature_rows(part, "approach_id") for part in (browse.safe(a), browse.hazardous(a)))
+    for name, rows in (("safe", safe), ("hazardous", hazardous), ("safe", safe)):  # a batch that comes again adds nothing
+        tables.append_features(rows, path, name)
+    return rounded(tables.read_features(spark, path, safe.schema))
 
 
 @query

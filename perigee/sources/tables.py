@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,9 +12,10 @@ from perigee.functions.columns import flag_to_int, with_features
 from perigee.schema import ENGINEERED, FEATURE_ROW_SCHEMA
 
 
-def feature_rows(approaches: DataFrame) -> DataFrame:
-    """One feature-store row per approach, pointing at its object."""
+def feature_rows(approaches: DataFrame, key: str | None = None) -> DataFrame:
+    """One feature-store row per approach, pointing at its object; with key, that column comes first as the row's key."""
     return with_features(approaches).select(
+        *([key] if key else []),
         *ENGINEERED,
         "absolute_magnitude",
         flag_to_int("hazardous").alias("hazardous"),
@@ -20,9 +23,45 @@ def feature_rows(approaches: DataFrame) -> DataFrame:
     )
 
 
-def append_features(df: DataFrame, path: str) -> None:
-    """Add rows to the feature store; files already there are left alone."""
-    df.write.mode("append").parquet(path)
+_LEDGER = "batch string, rows long"
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Batches that were committed, one row each."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/ledger")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], _LEDGER)
+    return spark.read.schema(_LEDGER).parquet(f"{path}/ledger")
+
+
+def append_features(df: DataFrame, path: str, batch: str) -> bool:
+    """Add a batch of rows to the feature store once, whatever its name; False if it was there already.
+
+    Rows go to the batch's own folder, over what an interrupted attempt may have left there. One ledger row, a single
+    file, is the commit: readers see the batches of the ledger only. A batch has one writer at a time.
+    """
+    spark = df.sparkSession
+    if not _ledger(spark, path).where(F.col("batch") == batch).isEmpty():
+        return False
+    place = f"{path}/data/batch={_folder(batch)}"
+    df.write.mode("overwrite").parquet(place)
+    rows = spark.read.schema(df.schema).parquet(place).count()
+    spark.createDataFrame([(batch, rows)], _LEDGER).coalesce(1).write.mode("append").parquet(f"{path}/ledger")
+    return True
+
+
+def _folder(batch: str) -> str:
+    """A folder name for any batch name."""
+    return hashlib.sha256(batch.encode()).hexdigest()
+
+
+def read_features(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of all committed batches."""
+    committed = _ledger(spark, path)
+    if committed.isEmpty():
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.StringType())])).parquet(f"{path}/data")
+    return stored.join(committed.select(F.sha2("batch", 256).alias("batch")), "batch", "left_semi").drop("batch")
 
 
 def create_table_if_missing(

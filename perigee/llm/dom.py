@@ -6,11 +6,14 @@ import html
 import re
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe noframes xmp svg math".split())
+#: Elements whose content is no markup of the page: code, names of pages, and what browsers with scripts don't show.
+RAW = frozenset("script style title textarea noscript template iframe noframes xmp".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody "
     "td tfoot th thead tr ul button".split())
+#: Raw elements that, without an end, hold the rest of the page.
+CODE = frozenset("script style".split())
 #: The implied block of a run of text that stands in no block element, and all elements that are judged as blocks.
 RUN = "#run"
 SCORED = BLOCK - {"html", "body", "hr"} | {RUN}
@@ -39,6 +42,8 @@ class Page:
         self.texts: list[tuple[int, int, str]] = []
         self.block = 0
         stack = [0]
+        self._where: dict[str, list[int]] = {}  # depths of the open elements of each name
+        unclosed: set[str] = set()  # raw elements without a further end
         at = 0
         while True:
             m = _TAG.search(source, at)
@@ -55,17 +60,19 @@ class Page:
             if m[1]:
                 if name == "br":
                     self._text(stack[-1], " ")
-                elif name in self._open(stack, name):
-                    while self.tag[stack.pop()] != name:
-                        pass
+                elif self._where.get(name):
+                    self._shut(stack, self._where[name][-1])
                     self._edge(name)
                 continue
             self._start(stack, name, m[3])
             if name in RAW and not m[3].rstrip().endswith("/"):
-                close = re.compile(f"</{name}(?=[\\s/>])", re.I).search(source, at)
-                stack.pop()
+                close = None if name in unclosed else re.compile(f"</{name}(?=[\\s/>])", re.I).search(source, at)
+                self._shut(stack, len(stack) - 1)
                 if not close:
-                    break
+                    if name in CODE:
+                        break
+                    unclosed.add(name)  # only the tag is left out
+                    continue
                 shut = source.find(">", close.start())
                 at = len(source) if shut < 0 else shut + 1
         self.within = [element for element, _, _ in self.texts]
@@ -85,8 +92,14 @@ class Page:
         if runs:
             self.texts = [(e if inside[e] else runs.get(block, e), block, text) for e, block, text in self.texts]
 
-    def _open(self, stack: list[int], name: str) -> set[str]:
-        return {name} if any(self.tag[i] == name for i in reversed(stack)) else set()
+    def _shut(self, stack: list[int], depth: int) -> None:
+        """Ends the open elements from this depth on; each element is ended once, so all ends cost as much as all starts."""
+        while len(stack) > depth:
+            self._where[self.tag[stack.pop()]].pop()
+
+    def _depth(self, names: set[str] | frozenset[str]) -> int:
+        """Depth of the innermost open element of these names, 0 for none."""
+        return max((self._where[n][-1] for n in names if self._where.get(n)), default=0)
 
     def _edge(self, name: str) -> None:
         if name in BLOCK:
@@ -107,19 +120,16 @@ class Page:
         self.parent.append(stack[-1])
         self.attributes.append(attributes)
         if name not in VOID and not (attributes.rstrip().endswith("/") and name not in BLOCK):
+            self._where.setdefault(name, []).append(len(stack))
             stack.append(len(self.tag) - 1)
 
     def _imply(self, stack: list[int], ended: set[str] | frozenset[str], walls: frozenset[str] | set[str]) -> None:
-        """Ends the outermost open element of these kinds on this side of a wall."""
-        for depth in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[depth]]
-            if name in ended:
-                del stack[depth:]
-                self.block += 1
-                if ended == {"p"}:
-                    return
-                return self._imply(stack, ended, walls)
-            if name in walls:
+        """Ends the open elements of these kinds on this side of a wall, of paragraphs the innermost."""
+        wall = self._depth(walls - ended)
+        while (depth := self._depth(ended)) > wall:
+            self._shut(stack, depth)
+            self.block += 1
+            if ended == {"p"}:
                 return
 
     def named(self, element: int) -> dict[str, str]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.llm.common import let, table
-from perigee.llm.spans import found, listed, replaced
+from perigee.llm.spans import covered, found, listed
 
 KINDS = ["assign", "access", "hex", "random"]
 #: The base patterns.
@@ -21,13 +21,15 @@ ASSIGN = "((?i)password|passwd|secret|token|api_?key)[\"']?\\x20*+[:=]\\x20*+[\"
 ACCESS = "AKIA[A-Z0-9]{16,}+"
 HEX = "[0-9a-f]{24,}+"
 #: Tokens the models judge, and the labelled strings they are counted from and calibrated on.
-TOKEN = "[A-Za-z0-9+/_=-]{20,}+"
+LEAST = 10
+TOKEN = f"(?=[A-Za-z0-9+/_=~!$.-]{{{LEAST}}})[A-Za-z0-9+/_=~!$-]++(?:\\.[A-Za-z0-9+/_=~!$-]++)*+"
 SAMPLES = 4000
-#: Share of held-out identifiers below the threshold.
+#: Share of held-out identifiers below the threshold of their length; a length's class begins at these.
 QUIET = 0.999
+LENGTHS = [LEAST, 14, 20]
 
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-KEY_ALPHABETS = ["0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:64], "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-~!$."
+KEY_ALPHABETS = [ALPHABET[:62] + "!$~.", "0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:64], "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
                  "abcdefghijklmnopqrstuvwxyz0123456789"]
 #: Parts of ordinary identifiers, and frequent syllables of four languages.
 PARTS = ("get set user name file path value index count list item data type code test page view model table query result "
@@ -47,17 +49,21 @@ def labelled_samples(spark: SparkSession, samples: int = SAMPLES, seed: int = 11
     """Columns token, random (boolean) and held_out (boolean); half of the samples of each label are held out."""
     i, s = F.col("id"), F.lit(seed)
     alphabet = _pick(F.array(*map(F.lit, KEY_ALPHABETS)), len(KEY_ALPHABETS), i, s)
-    length = (20 + F.pmod(F.xxhash64(i, s, F.lit("length")), F.lit(45))).cast("int")
+    length = (LEAST + F.pmod(F.xxhash64(i, s, F.lit("length")), F.lit(45)) * F.when(i % 4 < 2, 1.0).otherwise(0.25)).cast("int")
     key = let(alphabet, lambda a: F.array_join(F.transform(F.sequence(F.lit(1), length), lambda j: F.substring(
         a, (F.pmod(F.xxhash64(i, j, s), F.char_length(a)) + 1).cast("int"), F.lit(1))), ""))
     parts = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda j: _pick(F.array(*map(F.lit, PARTS)), len(PARTS), i, j, s))
-    style = F.pmod(F.xxhash64(i, s, F.lit("style")), F.lit(6))
+    style = F.pmod(F.xxhash64(i, s, F.lit("style")), F.lit(9))
+    number = F.pmod(F.xxhash64(i, s, F.lit("number")), F.lit(3000)).cast("string")
     name = (F.when(style == 0, F.array_join(parts, "_")).when(style == 1, F.array_join(parts, "-"))
             .when(style == 2, F.array_join(F.transform(parts, F.initcap), "")).when(style == 3, F.upper(F.array_join(parts, "_")))
-            .when(style == 4, F.array_join(parts, "/")).otherwise(F.array_join(parts, "")))
+            .when(style == 4, F.array_join(parts, "/")).when(style == 5, F.array_join(parts, "."))
+            .when(style == 6, F.concat(number, F.lit("-"), F.array_join(parts, "-")))
+            .when(style == 7, F.concat(F.array_join(F.slice(parts, 1, 2), ""), number, F.lit("_"), F.array_join(F.slice(parts, 3, 10), "")))
+            .otherwise(F.array_join(parts, "")))
     rows = spark.range(samples, numPartitions=2).select(
         F.explode(F.array(F.struct(key.alias("token"), F.lit(True).alias("random")),
-                          F.struct(F.left(name, F.greatest(length, F.lit(24))).alias("token"), F.lit(False).alias("random")))).alias("x"), "id")
+                          F.struct(F.left(name, length).alias("token"), F.lit(False).alias("random")))).alias("x"), "id")
     return rows.select("x.*", (F.col("id") % 2 == 1).alias("held_out"))
 
 
@@ -77,13 +83,17 @@ def mean_ratio(token: Column, ratios: Column) -> Column:
     return F.when(F.char_length(token) > 1, let(_places(token), total)).otherwise(F.lit(0.0))
 
 
+def _length_class(token: Column) -> Column:
+    return sum((F.char_length(token) >= n).cast("int") for n in LENGTHS[1:])
+
+
 class SecretModel:
-    """Log ratios of all transitions (a bounded table: the alphabet squared) and the calibrated threshold."""
+    """Log ratios of all transitions (a bounded table: the alphabet squared) and the calibrated threshold of each length."""
 
     _fitted: dict[tuple, SecretModel] = {}
 
-    def __init__(self, ratios: list[float], threshold: float):
-        self.numbers, self.threshold = ratios, threshold
+    def __init__(self, ratios: list[float], thresholds: list[float]):
+        self.numbers, self.thresholds = ratios, thresholds
 
     @property
     def ratios(self) -> Column:
@@ -104,16 +114,27 @@ class SecretModel:
         def logs(c: list[float]) -> list[float]:
             return [math.log(c[a * k + b] / sum(c[a * k : a * k + k])) for a in range(k) for b in range(k)]
 
-        model = cls([x - y for x, y in zip(logs(counts[True]), logs(counts[False]), strict=True)], 0.0)
-        ordinary = rows.filter("held_out and not random").select(mean_ratio(F.col("token"), model.ratios).alias("r"))
-        model.threshold = max(0.0, float(ordinary.agg(F.percentile("r", F.lit(QUIET))).first()[0]))
+        model = cls([x - y for x, y in zip(logs(counts[True]), logs(counts[False]), strict=True)], [0.0] * len(LENGTHS))
+        ordinary = rows.filter("held_out and not random").select(
+            _length_class(F.col("token")).alias("length"), mean_ratio(F.col("token"), model.ratios).alias("r"))
+        for r in ordinary.groupBy("length").agg(F.percentile("r", F.lit(QUIET)).alias("r")).collect():  # a row a class
+            model.thresholds[r["length"]] = max(0.0, float(r["r"]))
         cls._fitted[known] = model
         return model
 
     def is_random(self, token: Column) -> Column:
-        """Random by the models, and with a digit or both cases, as words alone aren't keys."""
-        mixed = token.rlike("[0-9]") | (token.rlike("[a-z]") & token.rlike("[A-Z]"))
-        return mixed & (mean_ratio(token, self.ratios) > self.threshold)
+        """Random by the models, long enough, and with a digit or a capital after a small letter, as words alone aren't keys."""
+        mixed = (F.char_length(token) >= LEAST) & token.rlike("[0-9]|[a-z][^a-z]*[A-Z]")
+        limit = F.element_at(F.array(*map(F.lit, self.thresholds)), _length_class(token) + 1)
+        return mixed & (mean_ratio(token, self.ratios) > limit)
+
+
+def _spans(text: Column, model: SecretModel) -> tuple[Column, Column]:
+    """Base and method spans of a text."""
+    assign = F.filter(found(text, 0, ASSIGN, group=2), lambda s: F.char_length(s["part"]) >= 6)
+    base = F.concat(assign, found(text, 1, ACCESS), found(text, 2, HEX))
+    random = F.filter(found(text, 3, TOKEN), lambda s: model.is_random(s["hit"]))
+    return base, random
 
 
 def scan(docs: DataFrame, model: SecretModel | None = None) -> DataFrame:
@@ -122,27 +143,20 @@ def scan(docs: DataFrame, model: SecretModel | None = None) -> DataFrame:
     A null or empty text has none. Repeated rows and null keys stay as they are; other columns are left out.
     """
     model = model or SecretModel.fit(docs.sparkSession)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    assign = F.filter(found(text, 0, ASSIGN, group=2), lambda s: F.char_length(s["part"]) >= 6)
-    base = F.concat(assign, found(text, 1, ACCESS), found(text, 2, HEX))
-    random = F.filter(found(text, 3, TOKEN), lambda s: model.is_random(s["hit"]))
-    return docs.select("doc_id", base.alias("base"), random.alias("method"))
+    base, method = _spans(F.coalesce(F.col("text"), F.lit("")), model)
+    return docs.select("doc_id", base.alias("base"), method.alias("method"))
 
 
 def redact(docs: DataFrame, model: SecretModel | None = None) -> DataFrame:
-    """docs with every secret in text replaced by a mark of its kind, and n_chars, where there is one, counted anew.
+    """docs with the spans of scan() in text replaced by a mark of their kind, and n_chars, where there is one, counted anew.
 
-    Kinds are replaced one after the other, each in what the ones before left. A null text stays null.
+    Overlapping spans become one mark, of the kind of the first, so no part of a secret stays. A null text stays null,
+    an empty one empty; repeated rows stay; an empty table stays empty; all further columns are kept.
     """
     model = model or SecretModel.fit(docs.sparkSession)
-
-    def all_kinds(text: Column) -> Column:
-        always = lambda hit, part: F.lit(True)
-        return let(replaced(text, ASSIGN, "[ASSIGN]", lambda hit, part: F.char_length(part) >= 6, group=2), lambda a: let(
-            replaced(a, ACCESS, "[ACCESS]", always), lambda b: let(replaced(b, HEX, "[HEX]", always), lambda c: replaced(
-                c, TOKEN, "[RANDOM]", lambda hit, part: model.is_random(hit)))))
-
-    out = docs.withColumn("text", F.when(F.col("text").isNotNull(), all_kinds(F.col("text"))))
+    text = F.col("text")
+    clean = let(F.concat(*_spans(F.coalesce(text, F.lit("")), model)), lambda s: covered(text, s, [f"[{k.upper()}]" for k in KINDS]))
+    out = docs.withColumn("text", F.when(text.isNotNull(), clean))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -343,3 +343,30 @@ def test_registered_queries_read_whole_tables(spark):
         got = queries[name](spark, SF).count()
         assert rows is None or got == rows
     assert len([q for q in queries if re.match(r"op\d+_", q)]) == 10 and "pipeline" in queries
+
+
+def test_formulas_and_raw_elements_without_an_end():
+    from perigee.llm.dom import Page, joined
+
+    def words(source):
+        return joined(Page(source), [True] * 99).split()
+
+    assert words("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so", "x=2", "holds"]
+    assert words("<p>a <svg><path d='M0'> b</p><p>c") == ["a", "b", "c"]
+    assert words("<p>a<noscript>hidden</noscript> b") == ["a", "b"] and words("<p>a <noscript>b<p>c") == ["a", "b", "c"]
+    assert words("<p>a<script>if (x) {}") == ["a"]
+
+
+@pytest.mark.parametrize("source", ["<div>{}</span>", "<i>{}<hr>", "<thead>{}<hr>", "<template>{}", "<p><table><i>{}<hr>"])
+def test_parse_time_grows_with_the_page(source):
+    import time
+
+    from perigee.llm.dom import Page
+
+    first, rest = source.split("{}")
+    took = []
+    for n in (20_000, 80_000):
+        start = time.perf_counter()
+        Page(first * n + rest * n)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0] + 0.2

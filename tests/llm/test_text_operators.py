@@ -169,8 +169,12 @@ def test_method_spans(tables):
 def test_held_out_samples(spark):
     model = secrets.SecretModel.fit(spark)
     rows = secrets.labelled_samples(spark, seed=99)
-    right = rows.select((model.is_random(rows["token"]) == rows["random"]).cast("int").alias("r")).agg({"r": "avg"}).first()[0]
-    assert right > 0.98
+    judged = rows.selectExpr("random", "length(token) n", "token").withColumn("said", model.is_random(rows["token"])).collect()
+    for low, high, recall in ((20, 999, 0.97), (14, 19, 0.7), (secrets.LEAST, 13, 0.4)):
+        mine = [r for r in judged if low <= r["n"] <= high]
+        quiet, keys = [r["said"] for r in mine if not r["random"]], [r["said"] for r in mine if r["random"]]
+        print(low, len(quiet), sum(quiet) / len(quiet), len(keys), sum(keys) / len(keys))
+        assert sum(quiet) <= 0.01 * len(quiet) and sum(keys) > recall * len(keys)
     boosted = pii.PiiModel.fit(spark)
     fresh = pii.labelled_samples(spark, seed=77)
     for kind in range(pii.BASE, len(pii.KINDS)):
@@ -186,3 +190,46 @@ def test_redaction(tables, spark):
     assert len(rows) == docs.count() and not any(secret_spans(r["text"]) for r in rows)
     assert all((r["text"] is None) == (r["n_chars"] is None) for r in rows)
     assert all(r["n_chars"] == len(r["text"]) for r in rows if r["text"] is not None)
+
+
+@pytest.mark.parametrize("pieces", [(65536, 1024), (64, 7), (5, 2)])
+def test_covered_spans(spark, monkeypatch, pieces):
+    """Against cutting in Python: overlapping, touching and crossing spans, code points beyond 16 bits."""
+    from perigee.llm import spans
+
+    monkeypatch.setattr(spans, "PIECES", pieces)
+    rng, rows = random.Random(3), []
+    for i in range(120):
+        text = "".join(rng.choice("ab \n\u00e9\U0001f600") for _ in range(rng.choice([0, 1, 30, 400])))
+        found = []
+        for _ in range(rng.choice([0, 1, 3, 40]) if text else 0):
+            start = rng.randrange(len(text))
+            found.append((start, rng.randrange(3), rng.randint(start + 1, min(len(text), start + rng.choice([1, 5, 90])))))
+        rows.append((i, text, found))
+    df = spark.createDataFrame(rows, "i int, text string, s array<struct<start:int,kind:int,end:int>>")
+    got = {r["i"]: r["t"] for r in df.select("i", spans.covered(df["text"], df["s"], ["<A>", "<B>", "<C>"]).alias("t")).collect()}
+    for i, text, found in rows:
+        out, at = "", 0
+        for start, kind, end in sorted(found):
+            if start >= at:
+                out += text[at:start] + "<ABC>"[0] + "ABC"[kind] + ">"
+            at = max(at, end)
+        assert got[i] == out + text[at:]
+
+
+def test_no_part_of_a_secret_stays(spark):
+    inner = "Xk9-Qz7_0123456789abcdef0123456789abcdef_Pw3vTn8"
+    texts = [f"key {inner} end", "key Zq8Lw2Xv9Kt4Rb7N", "pw Ab3.Xy9Qw7.Lm2Pk8Zt5Vr.", "password: hunter2x and AKIA" + "ABCDEFGH12345678", "", None,
+             "the Geschwindigkeitsbegrenzung of getUserName in www.example.com/path/index.html on 2024-01-15"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r["text"] for r in secrets.redact(docs).orderBy("doc_id").collect()]
+    assert out[0] == "key [RANDOM] end" and out[1] == "key [RANDOM]" and out[2] == "pw [RANDOM]."
+    assert out[3] == "[ASSIGN] and [ACCESS]" and out[4:6] == ["", None] and out[6] == texts[6]
+
+
+def test_redaction_of_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "password=abcdef1", "a", 5), (1, "password=abcdef1", "a", 5), (None, None, None, None)],
+                                 "doc_id long, text string, kind string, start int")
+    assert sorted(map(repr, secrets.redact(docs).collect())) == sorted(
+        map(repr, [r.asDict() and type(r)(**{**r.asDict(), "text": r["text"] and "[ASSIGN]"}) for r in docs.collect()]))
+    assert secrets.redact(docs.limit(0)).collect() == []

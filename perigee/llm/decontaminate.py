@@ -27,8 +27,8 @@ SHINGLE, LEAST = 5, 0.75
 #: Radius of the fingerprints: at the least similarity about 11 of 64 bits differ, with a deviation of 3.
 BITS, RADIUS = 64, 21
 BLOCKS = (RADIUS + 2) // 2
-#: Benchmark items of one pass over the documents, and windows handled at a time.
-ITEMS_AT_ONCE, WINDOWS_AT_ONCE = 5000, 1024
+#: Benchmark items and their characters of one pass over the documents, and windows handled at a time.
+ITEMS_AT_ONCE, CHARS_AT_ONCE, WINDOWS_AT_ONCE = 5000, 20_000_000, 1024
 _WORD = re.compile(r"\w+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _WORDS_REMEMBERED = 300_000
@@ -57,12 +57,36 @@ def _shingles(text: str | None, words: _WordHash) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
+def _signs(s: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
+    """The signs of shingles; each further occurrence of one in a window counts as a shingle of its own."""
+    h = s + occurrence.astype(np.uint64) * _P
+    again = occurrence > 0
+    h[again] = (h[again] ^ (h[again] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    h[again] ^= h[again] >> np.uint64(30)
+    return ((h[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.int32) * 2 - 1
+
+
 def _simhash(s: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the windows of `size` shingles at these (sorted) starts."""
+    """SimHash of the windows of `size` shingles at these (sorted) starts, over shingles numbered inside each window.
+
+    So equal bits follow the weighted similarity. A window that moves by one shingle loses the last occurrence of the
+    shingle it leaves and gains the next one of the shingle it takes in.
+    """
     low, high = int(starts[0]), int(starts[-1]) + size
-    signs = ((s[low:high, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.int32) * 2 - 1
-    sums = np.concatenate([np.zeros((1, BITS), np.int32), np.cumsum(signs, axis=0, dtype=np.int32)])
-    ones = (sums[starts - low + size] - sums[starts - low]) > 0
+    part = s[low:high]
+    n, steps = len(part), len(part) - size
+    value = np.unique(part, return_inverse=True)[1].astype(np.int64)
+    places = np.sort(value * (n + 1) + np.arange(n))
+
+    def count(v: np.ndarray, first: np.ndarray | int, end: np.ndarray) -> np.ndarray:
+        return np.searchsorted(places, v * (n + 1) + end) - np.searchsorted(places, v * (n + 1) + first)
+
+    at = np.arange(steps)
+    sums = np.empty((steps + 1, BITS), np.int32)
+    sums[0] = _signs(part[:size], count(value[:size], 0, np.arange(size))).sum(axis=0)
+    sums[1:] = _signs(part[size:], count(value[size:], at + 1, at + size))
+    sums[1:] -= _signs(part[:steps], count(value[:steps], at, at + size) - 1)
+    ones = np.cumsum(sums, axis=0, dtype=np.int32)[starts - low] > 0
     return np.packbits(ones, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
@@ -156,9 +180,10 @@ class BenchmarkIndex:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """The items in blocks of about ITEMS_AT_ONCE, dealt by a hash of their rows."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    parts = max(1, -(-items.count() // ITEMS_AT_ONCE))
+    """The different items in blocks of about ITEMS_AT_ONCE and CHARS_AT_ONCE, dealt by a hash of their rows."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars")).first()
+    parts = max(1, -(-size["n"] // ITEMS_AT_ONCE), -(-size["chars"] // CHARS_AT_ONCE))
     for part in range(parts):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         yield [(r["item_id"], r["text"]) for r in block.collect()]  # bounded by the block

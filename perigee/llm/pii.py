@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.llm.common import boosted_margin, fit_boosted, let, table
-from perigee.llm.spans import found, listed
+from perigee.llm.spans import LEFT, found, listed
 from perigee.session import stable
 
 KINDS = ["email", "ip", "card", "phone", "email_spelled", "phone_local", "national_id", "iban", "ip6"]
@@ -33,83 +33,138 @@ PATTERNS = [
     "(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
 ]
 #: Labelled samples, trees, depth, and the precision thresholds are calibrated for.
-SAMPLES, TREES, DEPTH, PRECISION = 4000, 12, 3, 0.97
+SAMPLES, TREES, DEPTH, PRECISION = 4000, 24, 4, 0.97
 
-FEATURES = ["kind", "length", "digits", "letters", "separators", "first_digit", "group_zero", "personal", "contact", "bank", "technical",
+FEATURES = ["kind", "length", "digits", "letters", "separators", "first_digit", "valid", "hex_letters", "friendly", "technical", "leads",
             "glued_left", "glued_right"]
-_WORDS = {
-    "personal": "(?i)(ssn|social|insurance|tax|passport|national|citizen|id\\b)",
-    "contact": "(?i)(call|phone|tel|mobile|cell|fax|mail|contact|write|reach|whatsapp)",
-    "bank": "(?i)(iban|bank|account|transfer|konto|compte|cuenta|pay)",
-    "technical": "(?i)(order|version|part|sku|lot|isbn|serial|build|item|model|range|score|time|clock|ref|batch|meet|lunch)",
-}
+#: Words before personal data and before other numbers.
+_FRIENDLY = ("call phone tel mobile cell fax mail email contact write reach whatsapp text ring dial ssn social insurance tax passport "
+             "national citizen iban bank account transfer konto compte cuenta pay host address client visitor login from").split()
+_TECHNICAL = ("order version part sku lot isbn serial build item model range score time clock ref batch meet lunch room figure column "
+              "row table page chapter section line see code case draw position step ratio port street box gate").split()
+_NEUTRAL = "the of and then so now here it was with on that day they said also we she he you again".split()
+#: A place farther off than any word in the context.
+_FAR = LEFT + 1
 
 
 def _size_of(text: Column, pattern: str) -> Column:
     return F.char_length(F.regexp_replace(text, pattern, ""))
 
 
+def _mod97(account: Column) -> Column:
+    """Remainder of an account number with its first four characters moved to the end and letters as 10 to 35."""
+    plain = F.regexp_replace(account, "\\x20", "")
+    moved = F.concat(F.substring(plain, 5, 99), F.left(plain, F.lit(4)))
+    values = F.transform(F.slice(F.split(moved, ""), 1, F.char_length(moved)), lambda c: F.instr(F.lit(_DIGITS36), c) - 1)
+    return F.aggregate(values, F.lit(0), lambda r, v: (F.when(v < 10, r * 10).otherwise(r * 100) + v) % 97)
+
+
+_DIGITS36 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _valid(kind: Column, hit: Column) -> Column:
+    """Whether the candidate is well formed: known endings of hosts, area codes, number ranges, check digits, eight groups."""
+    return (F.when(kind == 4, hit.rlike("(?i)(com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$"))
+            .when(kind == 5, hit.rlike("^\\(?[2-9][0-9]{2}"))
+            .when(kind == 6, hit.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"))
+            .when(kind == 7, _mod97(hit) == 1)
+            .otherwise(hit.rlike("^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$")))
+
+
+def _distance(left: Column, words: list[str]) -> Column:
+    """Characters between the last of these words in the left context and the candidate; _FAR without one."""
+    pattern = f"(?is)^.*(?<![a-z])(?:{'|'.join(words)})s?(?![a-z])(.*)$"
+    return F.when(left.rlike(pattern), F.char_length(F.regexp_extract(left, pattern, 1))).otherwise(_FAR)
+
+
 def features(kind: Column, hit: Column, left: Column, right: Column) -> list[Column]:
-    """Numbers for the trees, in the order of FEATURES."""
+    """Numbers for the trees, in the order of FEATURES; words count by their distance, and which kind of word is nearer."""
 
     def flag(x: Column) -> Column:
         return F.when(x, 1.0).otherwise(0.0)
 
     length = F.char_length(hit)
     digits, letters = _size_of(hit, "[^0-9]"), _size_of(hit, "[^A-Za-z]")
+    friendly, technical = _distance(left, _FRIENDLY), _distance(left, _TECHNICAL)
     return [
         kind.cast("double"), length.cast("double"), digits.cast("double"), letters.cast("double"), (length - digits - letters).cast("double"),
-        F.coalesce(F.regexp_extract(hit, "[0-9]", 0).try_cast("double"), F.lit(-1.0)), flag(hit.rlike("(?:^|[^0-9])(?:000|00|666)(?:[^0-9]|$)")),
-        *[flag(left.rlike(_WORDS[w])) for w in ("personal", "contact", "bank", "technical")],
+        F.coalesce(F.regexp_extract(hit, "[0-9]", 0).try_cast("double"), F.lit(-1.0)), flag(_valid(kind, hit)),
+        flag(hit.rlike("[a-fA-F]")), friendly.cast("double"), technical.cast("double"), (technical - friendly).cast("double"),
         flag(left.rlike("[A-Za-z0-9_/#.=-]$")), flag(right.rlike("^[A-Za-z0-9_/#=-]")),
     ]
 
 
 def labelled_samples(spark: SparkSession, samples: int = SAMPLES, seed: int = 5) -> DataFrame:
-    """Columns kind, hit, left, right, label (1.0 personal, 0.0 not) and held_out; formats follow the proposals."""
+    """Columns kind, hit, left, right, label (1.0 personal, 0.0 not) and held_out; formats follow the proposals.
+
+    Neither format nor context tells the label alone. Personal: well formed, and the nearest telling word, if there is
+    one, is friendly. Not personal: well formed after a technical word or glued to other characters, or ill formed
+    in any context. Words of the other side may stand farther off in both. Held-out rows use other telling words (the
+    second half of each list).
+    """
     i = F.col("id")
 
+    def draw(size: int, *salt) -> Column:
+        return F.pmod(F.xxhash64(i, F.lit(seed), *map(F.lit, salt)), F.lit(size))
+
     def pick(values: list[str], *salt) -> Column:
-        at = F.pmod(F.xxhash64(i, F.lit(seed), *map(F.lit, salt)), F.lit(len(values)))
-        return F.element_at(F.array(*map(F.lit, values)), (at + 1).cast("int"))
+        return F.element_at(F.array(*map(F.lit, values)), (draw(len(values), *salt) + 1).cast("int"))
 
     def code(alphabet: str, size: int, *salt) -> Column:
         return F.concat(*[pick(list(alphabet), *salt, j) for j in range(size)])
 
-    digit, label = "0123456789", (F.pmod(F.xxhash64(i, F.lit(seed), F.lit("label")), F.lit(2)) == 1)
+    held = draw(3, "held") == 0
+    label = draw(2, "label") == 1
+    # what is wrong with a row that isn't personal: 0 its context, 1 its format, 2 characters glued to it
+    fault = F.when(label, -1).otherwise(F.when(draw(8, "fault") < 4, 0).when(draw(8, "fault") < 7, 1).otherwise(2))
+
+    def word(words: list[str], *salt) -> Column:
+        half = len(words) // 2
+        return F.when(held, pick(words[half:], *salt)).otherwise(pick(words[:half], *salt))
+
+    digit, sep = "0123456789", pick([" ", "-", "."], "s")
     name = F.concat(pick(["anna", "j.doe", "maria", "info", "p_smith", "kontakt"], "n"), code("abcde12", 2, "n2"))
     host = F.concat(pick(["mail", "example", "corp", "post"], "h"), code("abc", 1, "h2"))
     mark = pick(["[", "(", "{"], "m")
     closing = F.translate(mark, "[({", "])}")
-    sep = pick([" ", "-", "."], "s")
-    bad = F.lit(False) == label
+    country, account = pick(["DE", "FR", "ES", "GB", "NL"], "g"), F.concat(*[code(digit, 4, "g3", j) for j in range(4)])
+    check = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
+    spoilt_check = F.lpad(F.pmod(check.cast("int") + 1 + draw(95, "check"), F.lit(97)).cast("string"), 2, "0")
+    grouped = F.regexp_replace(account, "(.{4})", " $1")
+    hexes = [pick(["2001", "fe80", "2a02", "fd00"], "i"), *[code("0123456789abcdef", 4, "i2", j) for j in range(7)]]
+    clocks = F.concat_ws(":", *[code("012345", 2, "q", j) for j in range(4)], F.when(draw(2, "q5") == 0, code(digit, 2, "q6")))
     made = {
-        4: F.concat(name, F.lit(" "), mark, F.lit("at"), closing, F.lit(" "), host, F.lit(" "), mark, F.lit("dot"), closing, F.lit(" "), pick(["com", "org", "net"], "t")),
-        5: F.concat(code("23456789", 3, "a"), sep, code("23456789", 3, "b"), sep, code(digit, 4, "c")),
-        6: F.concat(F.when(bad & (F.pmod(i, F.lit(3)) == 0), F.lit("000")).otherwise(code("12345", 3, "d")), F.lit("-"), code("123456789", 2, "e"), F.lit("-"), code(digit, 4, "f")),
-        7: F.concat(pick(["DE", "FR", "ES", "GB", "NL"], "g"), code(digit, 2, "g2"), *[F.concat(F.lit(" "), code(digit, 4, "g3", j)) for j in range(4)]),
-        8: F.concat(pick(["2001", "fe80", "2a02", "fd00"], "i"), *[F.concat(F.lit(":"), code("0123456789abcdef", 4, "i2", j)) for j in range(7)]),
+        4: F.concat(name, F.lit(" "), mark, F.lit("at"), closing, F.lit(" "), host, F.lit(" "), mark, F.lit("dot"), closing, F.lit(" "), pick(["com", "org", "net", "de"], "t")),
+        5: F.concat(code("23456789", 1, "a"), code(digit, 2, "a2"), sep, code(digit, 3, "b"), sep, code(digit, 4, "c")),
+        6: F.concat(code("12345", 1, "d"), code(digit, 1, "d2"), code("123456789", 1, "d3"), F.lit("-"), code("123456789", 2, "e"), F.lit("-"), code("123456789", 4, "f")),
+        7: F.concat(country, check, grouped),
+        8: F.concat_ws(":", *hexes),
     }
     spoilt = {  # formats that the generators take but that are nothing personal
-        4: F.concat(pick(["noon", "lunch", "2pm"], "x"), F.lit(" (at) "), pick(["hall", "gate"], "y"), F.lit(" (dot) "), pick(["plan", "list"], "z")),
-        7: F.concat(pick(["AB", "QX", "ZZ"], "g"), code(digit, 2, "g2"), F.lit(" "), code("ABCDEFGH", 4, "k"), F.lit(" "), code("ABCXYZ01", 4, "k2")),
-        8: F.concat(code("012", 2, "q"), F.lit(":"), code("345", 2, "q2"), F.lit(":"), code("123", 2, "q3"), F.lit(":"), code(digit, 2, "q4")),
+        4: F.concat(pick(["noon", "lunch", "2pm", "we"], "x"), F.lit(" (at) "), pick(["hall", "gate", "home"], "y"), F.lit(" (dot) "), pick(["plan", "list", "then", "x"], "z")),
+        5: F.concat(code("01", 1, "a"), code(digit, 2, "a2"), sep, code(digit, 3, "b"), sep, code(digit, 4, "c")),
+        6: F.concat(pick(["000", "666", "912", "987"], "d"), F.lit("-"), code(digit, 2, "e"), F.lit("-"), code(digit, 4, "f")),
+        7: F.when(draw(2, "iban") == 0, F.concat(country, spoilt_check, grouped)).otherwise(F.concat(
+            code("ABQXZ", 2, "g4"), code(digit, 2, "g2"), F.lit(" "), code("ABCDEFGH", 4, "k"), F.lit(" "), code("ABCXYZ01", 4, "k2"))),
+        8: F.when(draw(2, "short") == 0, clocks).otherwise(F.concat_ws(":", *hexes[:4], F.when(draw(3, "more") == 0, hexes[4]))),
     }
-    good_left = {4: ["write to ", "mail: ", "contact ", "and then ", ". "], 5: ["call ", "phone: ", "tel. ", "the of ", "\n"],
-                 6: ["ssn ", "social security no ", "tax id: ", "of the ", ". "], 7: ["iban ", "bank account: ", "transfer to ", "the ", "\n"],
-                 8: ["from ", "host ", "the address ", ", ", " "]}
-    bad_left = ["order no ", "version ", "part ", "sku ", "lot ", "isbn ", "serial: ", "batch ", "time ", "item/", "ref=", "model-"]
-    kind = (F.lit(BASE) + F.pmod(F.xxhash64(i, F.lit(seed), F.lit("kind")), F.lit(len(KINDS) - BASE))).cast("int")
-    hit, left = F.lit(""), F.lit("")
+    kind = (F.lit(BASE) + draw(len(KINDS) - BASE, "kind")).cast("int")
+    hit = F.lit("")
     for k in range(BASE, len(KINDS)):
-        wrong = F.when(F.pmod(i, F.lit(2)) == 0, spoilt.get(k, made[k])).otherwise(made[k])
-        hit = F.when(kind == k, F.when(label, made[k]).otherwise(wrong)).otherwise(hit)
-        left = F.when(kind == k, pick(good_left[k], "left", k)).otherwise(left)
-    rows = spark.range(samples, numPartitions=2)
-    return rows.select(
-        kind.alias("kind"), hit.alias("hit"), F.when(label, left).otherwise(pick(bad_left, "bad")).alias("left"),
-        F.when(label, pick([" ", ".", ",", "\n"], "right")).otherwise(pick([" ", "-x", "/2", ".", "_a"], "wrong")).alias("right"),
-        label.cast("double").alias("label"), (F.pmod(F.xxhash64(i, F.lit(seed), F.lit("held")), F.lit(3)) == 0).alias("held_out"))
+        hit = F.when(kind == k, F.when(fault == 1, spoilt[k]).otherwise(made[k])).otherwise(hit)
+    filler = F.concat(pick(_NEUTRAL, "w"), F.lit(" "))
+    join = pick([" ", ": ", " no ", " is ", " "], "join")
+    far = F.when(draw(3, "far") == 0, word(_TECHNICAL, "far t")).when(draw(3, "far") == 1, word(_FRIENDLY, "far f")).otherwise("")
+    near = (F.when(fault == 0, word(_TECHNICAL, "near t")).when(draw(4, "lead") == 0, "")
+            .otherwise(word(_FRIENDLY, "near f")))
+    # without a telling word near a span, none stands farther off either
+    left = F.when(near == "", F.concat(filler, pick(_NEUTRAL, "w2"), F.lit(" "))).otherwise(F.concat(far, F.lit(" "), filler, near, join))
+    # gluing is a fault by itself only where it joins the span to a longer token
+    left = F.when(fault == 2, F.concat(left, pick(["/", "#", "=", "x-", "ref_"], "glue"))).otherwise(left)
+    right = F.when(fault == 2, pick(["-x", "/2", "_a", "#"], "wrong")).otherwise(pick([" ", ".", ",", "\n", ""], "right"))
+    return spark.range(samples, numPartitions=2).select(
+        kind.alias("kind"), hit.alias("hit"), F.right(left, F.lit(LEFT)).alias("left"), right.alias("right"),
+        label.cast("double").alias("label"), held.alias("held_out"))
 
 
 class PiiModel:

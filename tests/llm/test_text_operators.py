@@ -233,3 +233,27 @@ def test_redaction_of_odd_rows(spark):
     assert sorted(map(repr, secrets.redact(docs).collect())) == sorted(
         map(repr, [r.asDict() and type(r)(**{**r.asDict(), "text": r["text"] and "[ASSIGN]"}) for r in docs.collect()]))
     assert secrets.redact(docs.limit(0)).collect() == []
+
+
+def test_candidates_by_format_and_nearest_word(spark):
+    """Hand-written spans: neither a word somewhere before a candidate nor its format settles the matter alone."""
+    personal = ["she works part time, phone 555-123-4567", "order of the day: call 555-123-4567", "her ssn is 123-45-6789",
+                "iban DE89 3704 0044 0532 0130 00", "host 2001:0db8:85a3:0000:0000:8a2e:0370:7334", "write to anna [at] mail [dot] com"]
+    others = ["room 555-123-4567", "column 12:34:56:78 later", "from 1:2:3:4", "figure 123-45-6789", "see AB12 ABCD EFGH IJ",
+              "iban DE88 3704 0044 0532 0130 00", "order no 555-123-4567", "ssn 000-45-6789"]
+    docs = spark.createDataFrame(list(enumerate(personal + others)), "doc_id long, text string")
+    found = {r["doc_id"]: [s["hit"] for s in r["method"]] for r in pii.scan(docs).collect()}
+    assert [t for i, t in enumerate(personal) if not found[i]] == []
+    assert [t for i, t in enumerate(others, len(personal)) if found[i]] == []
+
+
+def test_no_single_feature_tells_the_label(spark):
+    from perigee.llm.pii import FEATURES, features
+
+    rows = pii.labelled_samples(spark)
+    numbers = [c.alias(f) for c, f in zip(features(*(rows[c] for c in ("kind", "hit", "left", "right"))), FEATURES, strict=True)]
+    table = rows.select(*numbers, "label").toPandas()
+    for name in FEATURES:
+        x, y = table[name].to_numpy(), table["label"].to_numpy()
+        best = max(max(((x <= cut) == y).mean(), ((x > cut) == y).mean()) for cut in set(x.tolist()))
+        assert best < 0.85, name

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm.common import let, packed, table
+from perigee.llm.common import let, packed, table, written
 from perigee.session import stable
 
 #: Frequent words of each language that has a reference of its own.
@@ -231,10 +231,12 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """Rows of docs, all columns, that quality() keeps; texts are measured twice, and shuffled only beyond BROADCAST_LANGS languages."""
-    reference = references(stable(measured(docs.select("text", "lang")).select(_Q)))
-    rows = packed(docs, F.col("text"), F.col("lang"))
-    return judged(measured(rows), reference).filter(f"{_V}.kept").select("row.*")
+    """Rows of docs, all columns, that quality() keeps; shuffled only beyond BROADCAST_LANGS languages.
+
+    Rows and their measures are written once as Parquet; the references are summed from the measures alone.
+    """
+    rows = written(measured(packed(docs, F.col("text"), F.col("lang"))).select("row", _Q), "measured")
+    return judged(rows, references(rows)).filter(f"{_V}.kept").select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from perigee.operators.objects import latest_version, read_snapshot, upsert, write_snapshot
-
-
-def _first_version(spark: SparkSession, table_root: str, checkpoint: str) -> int:
-    """The version that the stream of this checkpoint started from."""
-    note = f"{table_root.rstrip('/')}/_streams/{hashlib.sha256(checkpoint.encode()).hexdigest()[:32]}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{note}/_SUCCESS")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        found = latest_version(spark, table_root)
-        spark.range(1).select(F.lit(found).alias("version"), F.lit(checkpoint).alias("checkpoint")).write.mode("overwrite").parquet(note)
-    return spark.read.parquet(note).first()["version"]
+from perigee.operators.objects import BUCKET_ROWS, drop_unreferenced, upsert_snapshot
 
 
 def upsert_stream(
@@ -31,22 +18,22 @@ def upsert_stream(
     checkpoint: str,
     fmt: str = "parquet",
     max_files: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+    keep_versions: int = 2,
 ) -> StreamingQuery:
-    """Each batch turns the latest snapshot into the next one; a repeated batch rewrites the same snapshot.
+    """Each batch turns the latest version into the next one by rewriting the buckets it touches.
 
-    Batches are applied in arrival order, and inside a batch the row with the largest ``seq`` wins. A stream with a
-    new checkpoint goes on from the table's latest version, which is written beside the table once per checkpoint;
-    one stream writes a table at a time.
+    Batches are applied in arrival order, and inside a batch the row with the largest ``seq`` wins. The table notes
+    the last batch of each checkpoint in the same commit, so a repeated batch changes nothing and any stream goes on
+    from the latest version. Older versions than ``keep_versions`` are dropped. One stream writes a table at a time.
     """
-    base = _first_version(spark, table_root, checkpoint)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = base + batch_id
-        target = read_snapshot(spark, table_root, version) if version else spark.createDataFrame([], batch.schema)
-        write_snapshot(upsert(target, batch, seq), table_root, version + 1)
+        upsert_snapshot(batch, seq, table_root, source=checkpoint, number=batch_id, bucket_rows=bucket_rows)
+        drop_unreferenced(batch.sparkSession, table_root, keep_versions)
 
     return (
         reader.load(input_path).writeStream.foreachBatch(apply)

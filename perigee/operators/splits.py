@@ -1,7 +1,8 @@
 """Exact seeded splits and folds without ordering the table.
 
 Rows are ordered by a seeded hash inside each class. A histogram over the first four hex digits
-(at most 65,536 bins per class) locates the bin of every cut; only rows of those bins are ranked.
+(at most 65,536 bins per class) locates the bin of every cut. Where such a bin holds too many rows to
+be ordered in one task, the next digits divide it again, until it doesn't; only rows of those bins are ranked.
 What comes back is the (hash, key) of one row per class and cut. Labelling is then a plain column
 expression: no join, no shuffle.
 """
@@ -18,6 +19,11 @@ from perigee.functions.columns import hash_text
 
 SEED = 42
 SPLIT_NAMES = ["train", "val", "test"]
+#: Hex digits that a round adds to a bin's prefix, and digits of a hash.
+STEP, HASH_DIGITS = 4, 32
+#: Rows of a bin that one task may rank.
+RANK_ROWS = 1_000_000
+_WANTED = "s int, cut int, prefix string, rank long"
 
 Cuts = Callable[[Column], list[Column]]
 
@@ -35,35 +41,68 @@ def _position(seed: int | str, key: str) -> Column:
     return F.struct(hash_text(seed, key).alias("h"), F.col(key).alias("k"))
 
 
-def find_cuts(df: DataFrame, key: str, cuts: Cuts, label: str | None, seed: int | str) -> dict[int, dict[int, tuple]]:
-    """Per class and cut, the (hash, key) of the row at the cut's rank. A rank of zero has no row."""
-    keyed = df.select(_stratum(label).alias("s"), _position(seed, key).alias("p")).withColumn(
-        "bin", F.substring("p.h", 1, 4))
+def _bins_of_cuts(keyed: DataFrame, wanted: DataFrame, digits: int) -> DataFrame:
+    """Narrow every wanted rank, counted inside its prefix, to a prefix of `digits` digits; one row per class and cut."""
+    inside = keyed.withColumn("prefix", F.substring("p.h", 1, digits - STEP)).join(
+        F.broadcast(wanted.select("s", "prefix").distinct()), ["s", "prefix"], "left_semi")
+    bins = (
+        inside.groupBy("s", "prefix", F.substring("p.h", 1, digits).alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("upto", F.sum("rows").over(
+            W.partitionBy("s", "prefix").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)))
+    )
+    return _hit(bins.join(F.broadcast(wanted), ["s", "prefix"])).select("s", "cut", F.col("bin").alias("prefix"), "rank", "rows")
+
+
+def _hit(bins: DataFrame) -> DataFrame:
+    """The bin that holds each rank, with the rank counted inside it."""
+    before = F.col("upto") - F.col("rows")
+    return bins.where((F.col("rank") > before) & (F.col("rank") <= F.col("upto"))).withColumn("rank", F.col("rank") - before)
+
+
+def find_cuts(
+    df: DataFrame, key: str, cuts: Cuts, label: str | None, seed: int | str, rank_rows: int = RANK_ROWS
+) -> dict[int, dict[int, tuple]]:
+    """Per class and cut, the (hash, key) of the row at the cut's rank. A rank of zero has no row.
+
+    Rows that share a key count one by one and have one place. Only one row per class and cut reaches the driver in
+    each round; a round more is one scan more and divides the rows of a bin by 65,536.
+    """
+    spark = df.sparkSession
+    keyed = df.select(_stratum(label).alias("s"), _position(seed, key).alias("p"))
     by_class = W.partitionBy("s")
     bins = (
-        keyed.groupBy("s", "bin").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.sum("rows").over(by_class.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)))
+        keyed.groupBy("s", F.substring("p.h", 1, STEP).alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("upto", F.sum("rows").over(by_class.orderBy("prefix").rowsBetween(W.unboundedPreceding, 0)))
         .withColumn("n", F.sum("rows").over(by_class))
     )
     ranks = F.array(*[
         F.struct(F.lit(i).alias("cut"), r.cast("long").alias("rank")) for i, r in enumerate(cuts(F.col("n")))
     ])
-    before = F.col("upto") - F.col("rows")
-    # at most one bin per class and cut
-    cut_bins = (
-        bins.withColumn("c", F.explode(ranks))
-        .where((F.col("c.rank") > before) & (F.col("c.rank") <= F.col("upto")))
-        .select("s", "bin", "c.cut", (F.col("c.rank") - before).alias("rank"))
-    )
-    marks = (
-        keyed.join(F.broadcast(cut_bins), ["s", "bin"])
-        .withColumn("rn", F.row_number().over(W.partitionBy("s", "cut").orderBy("p")))
-        .where(F.col("rn") == F.col("rank"))
-    )
-    found: dict[int, dict[int, tuple]] = {}
-    for row in marks.select("s", "cut", "p.h", "p.k").collect():
-        found.setdefault(row["s"], {})[row["cut"]] = (row["h"], row["k"])
-    return found
+    exploded = bins.withColumn("c", F.explode(ranks)).select("s", "prefix", "rows", "upto", "c.cut", "c.rank")
+    found = _hit(exploded).select("s", "cut", "prefix", "rank", "rows").collect()
+    digits, done = STEP, []
+    while found:
+        small = digits >= HASH_DIGITS
+        done += [(r, digits) for r in found if small or r["rows"] <= rank_rows]
+        found = [r for r in found if not small and r["rows"] > rank_rows]
+        if found:
+            digits += STEP
+            wanted = spark.createDataFrame([tuple(r)[:4] for r in found], _WANTED)
+            found = _bins_of_cuts(keyed, wanted, digits).collect()
+    marks: dict[int, dict[int, tuple]] = {}
+    for length in sorted({d for _, d in done}):
+        wanted = spark.createDataFrame([tuple(r)[:4] for r, d in done if d == length], _WANTED)
+        # equal keys are one place, so what is ordered is at most rank_rows places of each bin
+        places = (
+            keyed.withColumn("prefix", F.substring("p.h", 1, length))
+            .join(F.broadcast(wanted.select("s", "prefix").distinct()), ["s", "prefix"], "left_semi")
+            .groupBy("s", "prefix", "p").agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("upto", F.sum("rows").over(
+                W.partitionBy("s", "prefix").orderBy("p").rowsBetween(W.unboundedPreceding, 0)))
+        )
+        for r in _hit(places.join(F.broadcast(wanted), ["s", "prefix"])).select("s", "cut", "p.h", "p.k").collect():
+            marks.setdefault(r["s"], {})[r["cut"]] = (r["h"], r["k"])
+    return marks
 
 
 def cut_by_hash(

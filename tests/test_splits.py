@@ -3,7 +3,8 @@ import hashlib
 from pyspark.sql import functions as F
 
 from perigee.operators.scaling import Scaler, fit_scaler
-from perigee.operators.splits import cut_by_hash, kfold, stratified_kfold, stratified_split
+from perigee.operators import splits
+from perigee.operators.splits import cut_by_hash, find_cuts, kfold, stratified_kfold, stratified_split
 
 
 def digest(text):
@@ -75,3 +76,33 @@ def test_published_split_sizes(spark):
     assert sum(rows.values()) == 90_836
     assert all(abs(rows[s] - n) <= 1 for s, n in {"train": 63_585, "val": 13_625, "test": 13_626}.items())
     assert got["val", True] == 1_326 and got["test", True] == 1_326
+
+
+def test_bins_are_divided_until_one_task_can_rank_them(spark, approaches, monkeypatch):
+    """With a small limit the cuts are the same, and no bin above the limit is ranked."""
+    def halves(n):
+        return [F.floor(n / 2), F.floor(n * 3 / 4), n]
+
+    want = find_cuts(approaches, "approach_id", halves, "hazardous", 42)
+    sizes = []
+    narrow = splits._bins_of_cuts
+
+    def seen(keyed, wanted, digits):
+        out = narrow(keyed, wanted, digits)
+        sizes.append((digits, [r["rows"] for r in out.collect()]))
+        return out
+
+    monkeypatch.setattr(splits, "_bins_of_cuts", seen)
+    monkeypatch.setattr(splits, "STEP", 1)
+    assert find_cuts(approaches, "approach_id", halves, "hazardous", 42, rank_rows=3) == want
+    assert [d for d, _ in sizes] == list(range(2, 2 + len(sizes))) and len(sizes) >= 2
+    assert max(sizes[-1][1]) <= 3 < max(sizes[0][1])
+
+
+def test_repeated_keys_share_a_place(spark, monkeypatch):
+    """A key that a third of the rows share can't be divided; it is one place however many rows it has."""
+    df = spark.createDataFrame([(i if i % 3 else 7,) for i in range(300)], "k long")
+    order = sorted((digest(f"1:{k}"), k) for k in [r["k"] for r in df.collect()])
+    monkeypatch.setattr(splits, "STEP", 8)
+    got = find_cuts(df, "k", lambda n: [F.floor(n / 4), F.floor(n / 2), F.floor(n * 3 / 4)], None, 1, rank_rows=2)
+    assert got == {0: {i: order[r - 1] for i, r in enumerate((75, 150, 225))}}

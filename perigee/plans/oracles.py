@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from perigee.plans.training import CLASSIFIERS, REGRESSORS
+from perigee.plans.forest import poisson_marks
+from perigee.plans.training import CLASSIFIERS, REGRESSORS, Settings
 from perigee.plans.rules import CLASS_RULES, DISTANCE_RULES
 from perigee.plans.tuning import TRIALS
 from perigee.schema import CLASS_NAMES, CLF_FEATURES, ENGINEERED, NUMERIC_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, REG_FEATURES
@@ -393,6 +394,13 @@ FROM split WHERE split IN ('train', 'val')""",
 UNION ALL SELECT 'reg', 2, 10, count(*), true FROM split WHERE split = 'train'""",
     "ml10_hyper_search": f"""{SPLIT_} SELECT cast({TRIALS} AS bigint) AS trials, count(*) AS rows, true AS inside, cast(0 AS double) AS difference,
   true AS beats_mean FROM split WHERE split = 'val'""",
+    **{name: f"""{SPLIT_[:-1]},
+drawn AS (SELECT tree, {label} AS label, {" + ".join(f"cast(u >= {m} AS int)" for m in poisson_marks())} AS w FROM (
+  SELECT *, cast('0x' || substr(md5(concat('42:bag:', cast(tree AS varchar), ':', cast(approach_id AS varchar))), 1, 8) AS bigint) AS u
+  FROM split, (SELECT unnest(generate_series(0, {Settings().forest_trees - 1})) AS tree) t WHERE split = 'train') x)
+SELECT cast(tree AS int) AS tree, count(*) AS rows, cast(sum(w) AS bigint) AS draws, round(sum(w * cast(label AS double)), 6) AS prediction_sum,
+  cast(0 AS bigint) AS different FROM drawn WHERE w > 0 GROUP BY tree""" for name, label in (
+        ("ml2_forest_to_the_end", "cast(hazardous AS int)"), ("ml6_forest_to_the_end", "log_miss_distance"))},
     "ml13_feature_importance": f"SELECT cast({len(CLF_FEATURES)} AS bigint) AS features, cast(1 AS double) AS total, true AS nonnegative",
     "ml14_model_card": "SELECT true AS names, true AS classifier_metric, true AS regressor_metric",
     "ml14_metric_summary": " UNION ALL ".join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,7 +18,7 @@ from perigee.functions.columns import (
     with_features,
 )
 from perigee.operators import balance, browse, joins, metrics, neighbours, objects, quality, ranking, scaling, splits, stats
-from perigee.plans import card, checks, rules, training, tuning
+from perigee.plans import card, checks, forest, rules, training, tuning
 from perigee.plans.lab import lab
 from perigee.plans.preprocess import feature_view, modelling_table
 from perigee.plans.scoring import Scorer
@@ -710,6 +711,29 @@ def ml2_random_forest_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classifier(spark, sf_dir, "RandomForestClassifier")
 
 
+def _full_forest(spark: SparkSession, sf_dir: str, task: str) -> DataFrame:
+    """What the trees of a forest without a depth limit say of all the training rows they drew. Copies made for balance
+    take no part, as their keys name no approach."""
+    state = lab(spark, sf_dir)
+    rows = state.rows(task, "train").where(~F.col("synthetic"))
+    names = training.features_of(task)
+    per_node = math.isqrt(len(names)) if task == "clf" else len(names)
+    grown = forest.fit_forest(rows, names, "label", "row_key", state.settings.forest_trees, per_node, state.settings.seed)
+    return forest.bag_check(grown, rows, "label", "row_key", state.settings.seed)
+
+
+@query
+def ml2_forest_to_the_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of a forest classifier, grown until all leaves are pure."""
+    return _full_forest(spark, sf_dir, "clf")
+
+
+@query
+def ml6_forest_to_the_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of a forest regressor, grown until all labels of a leaf are equal."""
+    return _full_forest(spark, sf_dir, "reg")
+
+
 @query
 def ml3_boosted_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classifier(spark, sf_dir, "GradientBoostingClassifier")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from perigee.operators.ordering import range_cuts, running_sums
+from perigee.operators.ordering import running_sums
 from perigee.schema import CLASS_NAMES
 
 
@@ -94,31 +94,28 @@ def classification_report(pred: DataFrame, by: list[str] | None = None) -> DataF
     return _cells(pred, by).select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
 
 
-def score_groups(pred: DataFrame) -> DataFrame:
+def score_groups(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Positives and negatives per distinct score."""
-    return pred.groupBy("score").agg(
+    return pred.groupBy(*(by or []), "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
 
 
-def auc_roc(pred: DataFrame) -> DataFrame:
-    """Exact area under the ROC curve; tied scores count half."""
-    cuts = range_cuts(pred, "score")
-    steps = running_sums(score_groups(pred), "score", {"neg_upto": "neg", "pos_upto": "pos"}, cuts)
+def auc_roc(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Exact area under the ROC curve; tied scores count half. All prediction sets of ``by`` take the same two passes."""
+    by = by or []
+    steps = running_sums(score_groups(pred, by), "score", {"neg_upto": "neg", "pos_upto": "pos"}, by)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     below = F.col("neg_upto").cast("double") - neg
-    return steps.agg(
+    return steps.groupBy(*by).agg(
         F.sum(pos * (below + neg / 2)).alias("wins"),
         F.max("pos_upto").cast("double").alias("p"),
         F.max("neg_upto").cast("double").alias("n"),
-    ).select(F.try_divide(F.col("wins"), F.col("p") * F.col("n")).alias("auc_roc"))
+    ).select(*by, F.try_divide(F.col("wins"), F.col("p") * F.col("n")).alias("auc_roc"))
 
 
 def _descending_steps(pred: DataFrame) -> DataFrame:
-    cuts = range_cuts(pred, "score")
-    return running_sums(
-        score_groups(pred), "score", {"tps": "pos", "fps": "neg"}, cuts, descending=True
-    )
+    return running_sums(score_groups(pred), "score", {"tps": "pos", "fps": "neg"}, descending=True)
 
 
 def _class_totals(pred: DataFrame) -> DataFrame:
@@ -152,25 +149,13 @@ def roc_curve(pred: DataFrame, drop_intermediate: bool = False) -> DataFrame:
 def _turning_points(steps: DataFrame) -> DataFrame:
     """Keep the first and last step and every step whose successor has other counts.
 
-    The successor of a bucket's last step is the first step of the next bucket, taken from a table
-    with one row per bucket.
+    A step's successor is the one whose sums start where its own end, so the two meet in a join.
     """
     here = F.struct("pos", "neg")
-    ends = steps.groupBy("_bucket").agg(F.max_by(here, "score").alias("first"), F.max("score").alias("top"))
-    down = W.orderBy(F.desc("_bucket"))
-    ends = ends.select(
-        "_bucket",
-        F.lead("first").over(down).alias("_next_bucket"),
-        (F.row_number().over(down) == 1).alias("_top_bucket"),
-        "top",
-    )
-    inside = W.partitionBy("_bucket").orderBy(F.desc("score"))
-    marked = steps.join(F.broadcast(ends), "_bucket").withColumn(
-        "_next", F.coalesce(F.lead(here).over(inside), F.col("_next_bucket"))
-    )
-    first = F.col("_top_bucket") & (F.col("score") == F.col("top"))
-    keep = first | F.col("_next").isNull() | (F.col("_next") != here)
-    return marked.where(keep)
+    following = steps.where(F.col("pos") + F.col("neg") > 0).select(
+        (F.col("tps") - F.col("pos")).alias("tps"), (F.col("fps") - F.col("neg")).alias("fps"), here.alias("_next"))
+    first = (F.col("tps") == F.col("pos")) & (F.col("fps") == F.col("neg"))
+    return steps.join(following, ["tps", "fps"], "left").where(first | F.col("_next").isNull() | (F.col("_next") != here))
 
 
 def precision_recall_curve(pred: DataFrame) -> DataFrame:

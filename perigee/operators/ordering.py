@@ -1,25 +1,27 @@
 """Exact answers that need a global order, without sorting the table in one task.
 
 ``select_ranks`` finds values at given ranks by narrowing brackets; ``running_sums`` makes
-cumulative totals from range buckets. Only bounded summaries (bracket ends, bucket cuts) reach
+cumulative totals from ranges, their totals and totals of these. Only bracket ends and counts reach
 the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from perigee.session import stable
+
 BRACKET_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
-RANGE_BUCKETS = 4_096
+#: Rows of a range of running sums, and ranges of a section.
+BUCKET_ROWS, SECTION_BUCKETS = 250_000, 1_000
 
 
 @dataclass
@@ -148,40 +150,39 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], brack
     return row.select(F.explode(F.array(*items)).alias("q")).select("q.*")
 
 
-def range_cuts(df: DataFrame, column: str, buckets: int = RANGE_BUCKETS) -> list[float]:
-    """At most ``buckets`` - 1 increasing cut values that split the rows about evenly."""
-    # one SQL text: thousands of literals would each cost a call into the JVM
-    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(cast(`{column}` AS double), array({shares}), {4 * buckets})")
-    row = df.agg(sketch.alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
-
-
-def range_bucket(df: DataFrame, column: str, cuts: list[float], out: str = "_bucket") -> DataFrame:
-    splits = [-math.inf, *(cuts or [0.0]), math.inf]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
-
-
 def running_sums(
-    grouped: DataFrame, key: str, sums: dict[str, str], cuts: list[float], descending: bool = False
+    grouped: DataFrame, key: str, sums: dict[str, str], by: Sequence[str] = (), descending: bool = False,
+    bucket_rows: int = BUCKET_ROWS, section: int = SECTION_BUCKETS,
 ) -> DataFrame:
     """Add the sums of ``sums`` (output name -> input column) over all rows up to and including ``key``.
 
-    ``grouped`` has one row per key. Each range bucket is ordered on its own; the totals of the
-    earlier buckets (one row per bucket, bounded by the number of cuts) are added.
+    ``grouped`` has one row per key and ``by`` columns, which are never NULL; every combination of these has sums of
+    its own, all found in the same pass. Rows are dealt into ranges whose number follows from the counted rows, so a
+    range stays small enough to be ordered in one task. What came before a range is found from the totals of the
+    ranges in its section and of the sections before it: no window holds the rows or ranges of everything.
     """
-    def order(c: str) -> Column:
-        return F.col(c).desc() if descending else F.col(c).asc()
-
-    keyed = range_bucket(grouped.withColumn("_key", F.col(key).cast("double")), "_key", cuts)
-    totals = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()])
-    earlier = W.orderBy(order("_bucket")).rowsBetween(W.unboundedPreceding, -1)
-    totals = totals.select(
-        "_bucket", *[F.coalesce(F.sum(f"_in_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums]
-    )
-    inside = W.partitionBy("_bucket").orderBy(order(key)).rowsBetween(W.unboundedPreceding, 0)
+    by = list(by)
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    buckets = max(1, math.ceil(grouped.count() / bucket_rows))
+    if buckets == 1:
+        one = W.partitionBy(*(by or [F.lit(0)])).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+        return grouped.withColumns({n: F.sum(c).over(one) for n, c in sums.items()})
+    # range borders come from a sample, so they are drawn once and saved
+    placed = stable(grouped.repartitionByRange(buckets, *by, order).withColumn("_bucket", F.spark_partition_id()))
+    totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()]).withColumn(
+        "_section", F.floor(F.col("_bucket") / F.lit(section)))
+
+    def before(partition: list[str], place: str) -> list[Column]:
+        earlier = W.partitionBy(*(partition or [F.lit(0)])).orderBy(place).rowsBetween(W.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(f"_in_{n}").over(earlier), F.lit(0)).alias(f"_{place}_{n}") for n in sums]
+
+    sections = totals.groupBy(*by, "_section").agg(*[F.sum(f"_in_{n}").alias(f"_in_{n}") for n in sums])
+    starts = totals.select(*by, "_bucket", "_section", *before([*by, "_section"], "_bucket")).join(
+        sections.select(*by, "_section", *before(by, "_section")), [*by, "_section"]
+    ).select(*by, "_bucket", *[(F.col(f"__bucket_{n}") + F.col(f"__section_{n}")).alias(f"_before_{n}") for n in sums])
+    inside = W.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return (
-        keyed.join(F.broadcast(totals), "_bucket")
+        placed.join(starts, [*by, "_bucket"])
         .withColumns({n: F.col(f"_before_{n}") + F.sum(c).over(inside) for n, c in sums.items()})
-        .drop("_key", *[f"_before_{n}" for n in sums])
+        .drop("_bucket", *[f"_before_{n}" for n in sums])
     )

@@ -465,9 +465,7 @@ def _rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric rows of the fixed rules, classification and distance rules in one table."""
     a = src.load_approaches(spark, sf_dir)
     measured = metrics.classification_metrics(rules.class_rules(a), ["position", "model"])
-    areas = reduce(DataFrame.unionByName, [
-        metrics.auc_roc(rules.class_rule(a, name)).withColumn("model", F.lit(name)) for name, _, _ in rules.CLASS_RULES
-    ])
+    areas = metrics.auc_roc(rules.class_rules(a), ["model"])
     clf = measured.join(F.broadcast(areas), "model").select(
         F.lit("clf").alias("task"), "position", "model", "f1_weighted", "auc_roc")
     reg = metrics.regression_metrics(rules.distance_rules(a), ["position", "model"]).select(

@@ -119,3 +119,17 @@ def test_describe_leaves_nan_out(spark):
 
     got = describe(spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double"), ["x"]).first()
     assert (got["count"], got["mean"], got["min"], got["p50"], got["max"]) == (2, 2.0, 1.0, 2.0, 3.0)
+
+
+def test_areas_and_corners_from_many_ranges(pred, monkeypatch):
+    """Several models in one pass, with ranges of a few scores, give what each gives alone."""
+    from perigee.operators import ordering
+
+    both = pred.withColumn("model", F.lit("a")).unionByName(pred.withColumns({"model": F.lit("b"), "score": -F.col("score")}))
+    alone = m.auc_roc(pred).first()["auc_roc"]
+    corners = sorted(map(tuple, m.roc_curve(pred, True).collect()))
+    sums = ordering.running_sums
+    monkeypatch.setattr(m, "running_sums", lambda *a, **k: sums(*a, **k, bucket_rows=20, section=2))
+    areas = {r["model"]: r["auc_roc"] for r in m.auc_roc(both, ["model"]).collect()}
+    assert areas == pytest.approx({"a": alone, "b": 1 - alone})
+    assert sorted(map(tuple, m.roc_curve(pred, True).collect())) == corners

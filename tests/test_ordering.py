@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from perigee.operators.ordering import exact_quantiles, range_cuts, running_sums, select_ranks
+from perigee.operators.ordering import exact_quantiles, running_sums, select_ranks
 from perigee.operators.stats import describe
 
 
@@ -38,17 +38,31 @@ def test_quantiles_of_an_empty_table(spark):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_sums(skewed, descending):
+@pytest.mark.parametrize("bucket_rows", [250_000, 60])
+def test_running_sums(skewed, descending, bucket_rows):
+    """One window, or ranges in sections of three: the same sums."""
     df, x = skewed
     grouped = df.where("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    cuts = range_cuts(grouped, "x", 16)
-    got = {r["x"]: r["upto"] for r in running_sums(grouped, "x", {"upto": "n"}, cuts, descending).collect()}
+    got = {r["x"]: r["upto"] for r in running_sums(
+        grouped, "x", {"upto": "n"}, descending=descending, bucket_rows=bucket_rows, section=3).collect()}
     values, counts = np.unique(x, return_counts=True)
     if descending:
         values, counts = values[::-1], counts[::-1]
     assert got == dict(zip(values.tolist(), np.cumsum(counts).tolist()))
 
 
+@pytest.mark.parametrize("bucket_rows", [250_000, 40])
+def test_running_sums_of_several_groups(spark, bucket_rows):
+    """Groups from one row to most rows are summed side by side; no range is much above the limit."""
+    df = spark.range(1000).select(
+        F.when(F.col("id") < 700, "big").when(F.col("id") < 999, "small").otherwise("one").alias("g"),
+        ((F.col("id") * 7919) % 1000).alias("k"), F.lit(1).alias("n"), (F.col("id") % 3).alias("m"))
+    got = running_sums(df, "k", {"n_upto": "n", "m_upto": "m"}, ["g"], bucket_rows=bucket_rows, section=2).toPandas()
+    assert len(got) == 1000
+    for _, part in got.sort_values("k").groupby("g"):
+        assert part["n_upto"].tolist() == part["n"].cumsum().tolist() and part["m_upto"].tolist() == part["m"].cumsum().tolist()
+
+
 def test_describe_matches_pandas(approaches):
     got = describe(approaches, ["relative_velocity"]).first()
     want = approaches.select("relative_velocity").toPandas()["relative_velocity"].describe()

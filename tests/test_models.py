@@ -64,6 +64,12 @@ def test_fit_does_not_depend_on_partitions(prepared, monkeypatch, name, override
     assert found[0] == pytest.approx(found[1], rel=1e-9)
 
 
+def test_partitions_of_a_fit_are_few(prepared):
+    assert [training.fit_partitions(n) for n in (0, 9_000, 100_000, 4_200_000, 7_500_000, 100_000_000)] == [1, 1, 10, 24, 24, 50]
+    with training.cached_rows(prepared.load("reg", "train"), "reg") as (rows, n):
+        assert rows.rdd.getNumPartitions() == training.fit_partitions(n)
+
+
 def test_baselines(trained):
     for task, names in (("clf", training.CLASSIFIERS), ("reg", training.REGRESSORS)):
         assert [m["model"] for m in trained[task].metrics] == names

@@ -2,12 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from perigee.operators.metrics import classification_metrics, regression_metrics
 from perigee.operators.splits import kfold
-from perigee.plans import tuning
-from perigee.plans.boosting import Block, Lane, Trees, bin_cuts, f1_weighted, fit_lanes, grow, r2, rmse
+from perigee.plans import boosting, tuning
+from perigee.plans.boosting import Block, Lane, Round, Trees, best_splits, bin_cuts, f1_weighted, fit_lanes, grow, r2, rmse
 from perigee.plans.training import Settings, cross_validate
 from perigee.schema import REG_FEATURES
 
@@ -144,3 +146,39 @@ def test_search_finds_and_refits(spark):
         assert regression_metrics(model.transform(val)).first()["rmse_log"] == pytest.approx(r["value"])
     best = tuning.best_trial(trials, "reg")
     assert tuning.boosted_refit("reg", df, best).lane.depth == best["max_depth"]
+
+
+def test_sums_below_a_split_are_those_over_all_rows():
+    rng = np.random.default_rng(3)
+    block = Block(rng.integers(0, 2**63, 400).astype(np.uint64), rng.integers(0, 8, (400, 3)).astype(np.uint8), rng.normal(size=400), np.zeros(400, np.int32))
+    lane, trees, node, sums = Lane(0, 1, 4, 0.1, 30, 0.8), Trees(Lane(0, 1, 4, 0.1)), np.zeros(400, np.int64), None
+    for loss in ("squared", "logistic"):
+        node[:] = 0
+        drawn = Round(block, lane, 0, np.zeros(400), loss, 8)
+        for level in range(4):
+            whole = drawn.histogram(node, level)
+            if level:
+                assert np.array_equal(drawn.below(node, level, sums, trees.feature[0, here], trees.cut[0, here]), whole)
+            sums, here = whole, slice((1 << level) - 1, (2 << level) - 1)
+            trees.feature[0, here], trees.cut[0, here], trees.value[0, here] = best_splits(sums, lane, False)
+            node = trees.step(0, block.bins, node)
+
+
+def test_splits_found_in_the_driver_or_in_tasks_are_the_same(table, monkeypatch):
+    found = []
+    for cells in (10**6, 0):
+        monkeypatch.setattr(boosting, "DRIVER_CELLS", cells)
+        rows = fit_lanes(table, ["a", "b", "c"], LANES[:2], bins=12, local_bytes=0).table.orderBy("lane").collect()
+        found.append([(r["lane"], bytes(r["feature"]), bytes(r["cut"]), r["init"]) for r in rows])
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("loss", ["squared", "logistic"])
+def test_a_boosted_model_in_a_pipeline_is_saved(table, tmp_path, loss):
+    df = table if loss == "squared" else table.withColumn("label", (F.col("label") > 1).cast("double"))
+    fitted = fit_lanes(df, ["a", "b", "c"], [Lane(0, 4, 3, 0.3, held=9)], loss, bins=12).model(0)
+    model = PipelineModel([VectorAssembler(inputCols=["a", "b", "c"], outputCol="features"), boosting.BoostedModel(fitted)])
+    model.write().overwrite().save(str(tmp_path / "m"))
+    want = sorted(fitted.transform(df).select("row_key", "prediction").collect())
+    for m in (model, PipelineModel.load(str(tmp_path / "m"))):
+        assert sorted(m.transform(df).select("row_key", "prediction").collect()) == want

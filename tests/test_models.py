@@ -70,6 +70,11 @@ def test_partitions_of_a_fit_are_few(prepared):
         assert rows.rdd.getNumPartitions() == training.fit_partitions(n)
 
 
+def test_boosted_baselines_are_lanes(trained):
+    for task, name in (("clf", "GradientBoostingClassifier"), ("reg", "GradientBoostingRegressor")):
+        assert type(trained[task].models[name].stages[-1]).__name__ == "BoostedModel"
+
+
 def test_baselines(trained):
     for task, names in (("clf", training.CLASSIFIERS), ("reg", training.REGRESSORS)):
         assert [m["model"] for m in trained[task].metrics] == names

@@ -114,3 +114,22 @@ def test_empty_constant_and_repeated_rows(spark):
     assert forest.levels == 1 and forest.subtrees.isEmpty()  # large and not divisible: leaves
     got = forest.predict(one.unionByName(spark.createDataFrame([("n", None, None)], schema)), "row_key").collect()
     assert {r["row_key"] for r in got} == {"0", "n"} and all(0 < r["prediction"] < 1 for r in got)
+
+
+def test_rows_are_dealt_by_their_work_and_hashed_once(table, monkeypatch):
+    monkeypatch.setattr(f, "SPREAD_ROWS", 1000)
+    one = table.coalesce(1)
+    assert f._dealt(one, 4).rdd.getNumPartitions() == 6
+    rows = one.withColumn("tree", F.lit(2))
+    drawn = f.with_drawn(rows, "row_key", 42)
+    want = rows.withColumn("w", f.bag_weight("row_key", F.col("tree"), 42)).where("w > 0")
+    assert drawn.exceptAll(want).isEmpty() and want.exceptAll(drawn).isEmpty() and not want.isEmpty()
+
+
+def test_joined_and_sent_nodes_give_the_same_trees(table, monkeypatch):
+    found = []
+    for nodes in (20_000, -1):
+        monkeypatch.setattr(f, "BROADCAST_NODES", nodes)
+        forest = f.fit_forest(table, FEATURES, "y", "row_key", 2, 2, grow_rows=400)
+        found.append(sorted(map(tuple, forest.subtrees.collect())) + sorted(map(tuple, forest.splits.collect())))
+    assert found[0] == found[1]

@@ -31,7 +31,7 @@ LEAF_ROWS = 2_000
 FANOUT = 64
 BROADCAST_NODES = 100_000  # larger tables of cuts and boxes are joined by node number
 MAX_DEPTH = 8  # node numbers stay exact as doubles
-VISITS_PER_TASK = 20_000
+VISITS_PER_TASK, LEAVES_PER_TASK = 20_000, 4
 DISTANCE_CELLS = 2_000_000
 SLACK = 1.0 + 1e-9
 
@@ -269,7 +269,9 @@ def nearest_vectors(vectors: DataFrame, width: int, k: int, leaf_rows: int = LEA
     The list includes the vector's own rows at distance zero.
     """
     tree, depth = _grow_leaves(vectors, width, leaf_rows)
-    own = tree.groupBy("leaf").applyInPandas(_own_leaf(k), _OWN)
+    # by the leaves to search, not by their bytes
+    tasks = max(1, -(-tree.count() // (LEAVES_PER_TASK * leaf_rows)))
+    own = tree.repartition(tasks, "leaf").groupBy("leaf").applyInPandas(_own_leaf(k), _OWN)
     if depth:
         own = stable(own)
         boxes = stable(_boxes(tree, width))

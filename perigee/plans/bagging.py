@@ -1,4 +1,4 @@
-"""Forests of limited depth for many lanes at once: the folds of a validation in one pass.
+"""Forests of limited depth for many lanes at once: the folds of a validation in one pass, or one fitted forest.
 
 A lane is a forest that leaves out the rows of one part and is scored on them. Rows are binned once for all lanes. How
 often a tree draws a row is a Poisson draw by the row's hashed key. Nodes with many rows are split level by level: each
@@ -9,19 +9,26 @@ the node, so the same rows give the same trees whatever their partitions, and at
 
 from __future__ import annotations
 
+import base64
 import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.ml import Model
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.param import Param
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perigee.plans import forest
-from perigee.plans.boosting import MAX_BINS, UNIT, Block, Lane, block_of, blocks_of, mixed, scores_of
+from perigee.plans.boosting import MAX_BINS, UNIT, Block, Lane, _binned, block_of, blocks_of, mixed, quantiles, scores_of
 from perigee.plans.forest import Tree, poisson_marks
 
 #: Drawn rows up to which one task grows a node, and rows of a partition.
@@ -34,11 +41,12 @@ QUANTILES = 10_000
 for _module in (sys.modules[__name__], forest):
     cloudpickle.register_pickle_by_value(_module)
 
-_NODES = "i int, tree int, node long, feature int, cut int, value double, n array<double>, values array<double>"
-_GROWN = "i int, tree int, node binary, feature binary, cut binary, value binary"
-_TYPES = (np.int64, np.int16, np.float64, np.float64)
+_NODES = "i int, tree int, node long, feature int, cut int, value double, gain double, n array<double>, values array<double>"
+_GROWN = "i int, tree int, node binary, feature binary, cut binary, value binary, gain binary"
+_TYPES = (np.int64, np.int16, np.float64, np.float64, np.float64)
 
-Nodes = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: Number, feature, cut, value and gain of nodes.
+Nodes = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -93,8 +101,8 @@ class Plan:
         at = gain.argmax(axis=1)
         return gain[np.arange(len(at)), at], at
 
-    def splits(self, i: int, tried: np.ndarray, n: np.ndarray, s: np.ndarray, sums: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        """Feature (-1: leaf) and cut of nodes with n draws and target sums s: the least squared error wins (Gini, for
+    def splits(self, i: int, tried: np.ndarray, n: np.ndarray, s: np.ndarray, sums: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature (-1: leaf), cut and gain (of squared error) of nodes with n draws and target sums s: the least squared error wins (Gini, for
         classes), the first of equal gains. sums: draws and target sums by node and bin, feature by feature."""
         best, feature, cut = np.full(len(n), -np.inf), np.full(len(n), -1, np.int16), np.zeros(len(n))
         for f, found in enumerate(sums):
@@ -104,23 +112,23 @@ class Plan:
         weight, total = self.weighed(i, n, s)
         whole = np.divide(total**2, weight, out=np.zeros_like(total), where=weight > 0)
         feature[~(best - whole > 1e-12 * whole)] = -1
-        return feature, np.where(feature >= 0, cut, 0.0)
+        return feature, np.where(feature >= 0, cut, 0.0), np.where(feature >= 0, best - whole, 0.0)
 
 
 def grow(plan: Plan, i: int, tree: int, root: int, columns: np.ndarray, target: np.ndarray, w: np.ndarray) -> Nodes:
     """Grow a node to the lane's depth from its drawn rows (bins feature by feature). All nodes of a level are handled at
-    once: number, feature, cut and value of each."""
+    once: number, feature, cut, value and gain of each."""
     depth, out = plan.lanes[i].depth, []
     ids, node = np.array([root]), np.zeros(len(w), np.int64)
     w = w.astype(np.float64)
     weighted = w * target
     for level in range((root + 1).bit_length() - 1, depth + 1):
         n, s = (np.bincount(node, x, minlength=len(ids)) for x in (w, weighted))
-        feature, cut = np.full(len(ids), -1, np.int16), np.zeros(len(ids))
+        feature, cut, gain = np.full(len(ids), -1, np.int16), np.zeros(len(ids)), np.zeros(len(ids))
         if level < depth:
             tried = plan.tried(i, tree, ids)
-            feature, cut = plan.splits(i, tried, n, s, (_by_bin(plan, x, node, w, weighted, t) for x, t in zip(columns, tried, strict=True)))
-        out.append((ids, feature, cut, plan.mean(i, n, s)))
+            feature, cut, gain = plan.splits(i, tried, n, s, (_by_bin(plan, x, node, w, weighted, t) for x, t in zip(columns, tried, strict=True)))
+        out.append((ids, feature, cut, plan.mean(i, n, s), gain))
         split = feature >= 0
         if not split.any():
             break
@@ -142,10 +150,15 @@ def _by_bin(plan: Plan, column: np.ndarray, node: np.ndarray, w: np.ndarray, wei
     return tuple(np.bincount(place, x, minlength=shape[0] * shape[1]).reshape(shape) for x in (w, weighted))
 
 
+def _last(nodes: Nodes) -> Nodes:
+    """Nodes in the order of their numbers; the later of equal numbers counts."""
+    ids, first = np.unique(nodes[0][::-1], return_index=True)
+    return ids, *(x[::-1][first] for x in nodes[1:])
+
+
 def linked(nodes: Nodes) -> Tree:
     """Nodes of a tree as a Tree over bins; the later of equal numbers counts."""
-    ids, first = np.unique(nodes[0][::-1], return_index=True)
-    feature, cut, value = (x[::-1][first] for x in nodes[1:])
+    ids, feature, cut, value, _ = _last(nodes)
     return Tree(feature, cut, np.where(feature >= 0, np.searchsorted(ids, 2 * ids + 1), 0), value)
 
 
@@ -153,10 +166,11 @@ class Growing:
     """The trees that the driver has heard of: nodes by lane and tree."""
 
     def __init__(self, plan: Plan, kept: list[tuple[int, float]]):
+        self.plan = plan
         root = [np.zeros(1, t) for t in _TYPES]
         self.found: dict[tuple[int, int], list[Nodes]] = {}
         for i, lane in enumerate(plan.lanes):
-            first = (*(x.copy() for x in (root[0], root[1] - 1, root[2])), plan.mean(i, np.array([float(kept[i][0])]), np.array([kept[i][1]])))
+            first = (root[0], root[1] - 1, root[2], plan.mean(i, np.array([float(kept[i][0])]), np.array([kept[i][1]])), root[4])
             for t in range(lane.rounds):
                 self.found[i, t] = [tuple(x.astype(y) for x, y in zip(first, _TYPES, strict=True))]
 
@@ -171,8 +185,17 @@ class Growing:
 
     def places(self, i: int, tree: int) -> Tree:
         """The tree with the numbers of its nodes as their values."""
-        ids, feature, cut, _ = self.nodes(i, tree)
-        return linked((ids, feature, cut, ids.astype(np.float64)))
+        ids, feature, cut, _, gain = self.nodes(i, tree)
+        return linked((ids, feature, cut, ids.astype(np.float64), gain))
+
+    def importance(self, i: int, features: int) -> np.ndarray:
+        """Share of each feature in the gains of a tree, averaged over the lane's trees that were split."""
+        shares = np.zeros(features)
+        for t in range(self.plan.lanes[i].rounds):
+            _, feature, _, _, gain = _last(self.nodes(i, t))
+            gains = np.bincount(feature[feature >= 0], gain[feature >= 0], minlength=features)
+            shares += gains / (gains.sum() or 1.0)
+        return shares / (shares.sum() or 1.0)
 
 
 def cuts_between(values: np.ndarray, bins: int) -> list[float]:
@@ -193,9 +216,8 @@ def cuts_between(values: np.ndarray, bins: int) -> list[float]:
 
 def forest_cuts(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
     """Cuts of each feature from even quantiles of all rows."""
-    probs = F.expr(f"cast(split('{','.join(str(i / QUANTILES) for i in range(QUANTILES + 1))}', ',') AS array<double>)")
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 1_000_000).alias(c) for c in features]).first()
-    return [cuts_between(np.array(row[c] or [], np.float64), bins) for c in features]
+    probs = [i / QUANTILES for i in range(QUANTILES + 1)]
+    return [cuts_between(np.array(q, np.float64), bins) for q in quantiles(df, features, probs)]
 
 
 def _each(features: int, of):
@@ -254,12 +276,12 @@ def _split_large(blocks: DataFrame, plan: Plan, growing: Growing, large: list[tu
         i, t, node = (k.as_py() for k in key)
         n, s = (sum(np.frombuffer(x.as_py()) for x in group.column(c)).reshape(plan.features, 1, plan.bins) for c in ("n", "s"))
         whole = n[0].sum(axis=1), s[0].sum(axis=1)
-        feature, cut = plan.splits(i, plan.tried(i, t, np.array([node])), *whole, zip(n, s, strict=True))
+        feature, cut, gain = plan.splits(i, plan.tried(i, t, np.array([node])), *whole, zip(n, s, strict=True))
         f, upto = int(feature[0]), int(cut[0]) + 1
         below = [(x[f, 0, :upto].sum(), x[f, 0, upto:].sum()) for x in (n, s)] if f >= 0 else [(), ()]
-        row = (i, t, node, f, int(cut[0]), float(plan.mean(i, *whole)[0]), list(map(float, below[0])), plan.mean(i, *map(np.array, below)).tolist() if f >= 0 else [])
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
-        names = ["i", "tree", "node", "feature", "cut", "value", "n", "values"]
+        row = (i, t, node, f, int(cut[0]), float(plan.mean(i, *whole)[0]), float(gain[0]), list(map(float, below[0])), plan.mean(i, *map(np.array, below)).tolist() if f >= 0 else [])
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+        names = ["i", "tree", "node", "feature", "cut", "value", "gain", "n", "values"]
         return pa.table({c: pa.array([x], k) for c, x, k in zip(names, row, kinds, strict=True)})
 
     counted = blocks.mapInArrow(_each(plan.features, sums), "i int, tree int, node long, n binary, s binary")
@@ -290,8 +312,8 @@ def _grown(blocks: DataFrame, plan: Plan, growing: Growing, small: list[tuple[in
         columns = np.ascontiguousarray(bins.reshape(-1, plan.features).T)
         nodes = grow(plan, i, t, node, columns, target, w)
         return pa.table({c: pa.array([x], k) for c, x, k in zip(
-            ["i", "tree", "node", "feature", "cut", "value"], (i, t, *(x.astype(k).tobytes() for x, k in zip(nodes, _TYPES, strict=True))),
-            (pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)})
+            ["i", "tree", "node", "feature", "cut", "value", "gain"], (i, t, *(x.astype(k).tobytes() for x, k in zip(nodes, _TYPES, strict=True))),
+            (pa.int32(), pa.int32(), *[pa.binary()] * 5), strict=True)})
 
     dealt = blocks.mapInArrow(_each(plan.features, deal), "i int, tree int, node long, bins binary, target binary, w binary")
     return dealt.repartition(len(small), "i", "tree", "node").groupBy("i", "tree", "node").applyInArrow(finish, _GROWN).collect()
@@ -323,6 +345,63 @@ class Forests:
 
     trees: dict[int, list[Tree]]
     scores: dict[int, list[float]]
+    importances: dict[int, list[float]]
+    features: list[str]
+    cuts: list[list[float]]
+    loss: str
+
+    def model(self, number: int) -> Bagged:
+        return Bagged(tuple(self.features), tuple(map(tuple, self.cuts)), self.loss, tuple(self.importances[number]), tuple(tuple(t.packed()) for t in self.trees[number]))
+
+
+@dataclass(frozen=True)
+class Bagged:
+    """A fitted lane: trees over bins, each as bytes."""
+
+    features: tuple[str, ...]
+    cuts: tuple[tuple[float, ...], ...]
+    loss: str
+    importances: tuple[float, ...]
+    trees: tuple[tuple[bytes, bytes, bytes, bytes], ...]
+
+    def mean(self, columns: list[np.ndarray]) -> np.ndarray:
+        bins = _binned(columns, [list(c) for c in self.cuts])
+        return sum(Tree.unpacked(*t).predict(bins) for t in self.trees) / len(self.trees)
+
+
+class BaggedModel(Model, DefaultParamsWritable, DefaultParamsReadable):
+    """A fitted forest as the last stage of a pipeline, over a vector column `features`. Adds prediction, and for classes
+    probability (the mean of the trees' shares)."""
+
+    def __init__(self, fitted: Bagged | None = None):
+        super().__init__()
+        self.fitted_forest = Param(self, "fitted_forest", "features, cuts, importances and trees of the forest")
+        if fitted:
+            told = {"features": list(fitted.features), "cuts": [list(c) for c in fitted.cuts], "loss": fitted.loss, "importances": list(fitted.importances)}
+            self._set(fitted_forest=told | {"trees": [[base64.b64encode(b).decode() for b in t] for t in fitted.trees]})
+
+    def fitted(self) -> Bagged:
+        x = self.getOrDefault(self.fitted_forest)
+        return Bagged(tuple(x["features"]), tuple(map(tuple, x["cuts"])), x["loss"], tuple(x["importances"]),
+                      tuple(tuple(base64.b64decode(b) for b in t) for t in x["trees"]))
+
+    @property
+    def featureImportances(self) -> DenseVector:  # as MLlib's forests name it
+        return DenseVector(self.fitted().importances)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        forest = self.fitted()
+
+        @F.pandas_udf("double")
+        def mean(x: pd.Series) -> pd.Series:
+            return pd.Series(forest.mean(list(np.stack(x.to_numpy()).T)) if len(x) else [], dtype="float64")
+
+        found = mean(vector_to_array("features"))
+        if forest.loss == "squared":
+            return dataset.withColumn("prediction", found)
+        p = F.col("_mean")
+        return dataset.withColumn("_mean", found).withColumns({
+            "prediction": (p > 0.5).cast("double"), "probability": array_to_vector(F.array(F.lit(1.0) - p, p))}).drop("_mean")
 
 
 def fit_forests(
@@ -353,9 +432,9 @@ def fit_forests(
     large, small = ([r for r in roots if (kept[r[0]][0] > grow_rows) == is_large] for is_large in (True, False))
     while large:
         found, large = _split_large(blocks, plan, growing, large), []
-        for i, t, node, feature, cut, value, n, values in found:
+        for i, t, node, feature, cut, value, gain, n, values in found:
             below = [2 * node + 1, 2 * node + 2][: len(n)]
-            growing.add(i, t, [node, *below], [feature, *[-1] * len(n)], [cut, *[0] * len(n)], [value, *values])
+            growing.add(i, t, [node, *below], [feature, *[-1] * len(n)], [cut, *[0] * len(n)], [value, *values], [gain, *[0] * len(n)])
             for child, rows_there in zip(below, n, strict=True):
                 if (child + 1).bit_length() - 1 < lanes[i].depth:
                     (large if rows_there > grow_rows else small).append((i, t, child))
@@ -363,5 +442,6 @@ def fit_forests(
         for i, t, *nodes in _grown(blocks, plan, growing, small):
             growing.add(i, t, *(np.frombuffer(x, k) for x, k in zip(nodes, _TYPES, strict=True)))
     trees = [[growing.tree(i, t) for t in range(x.rounds)] for i, x in enumerate(lanes)]
-    scores = _held_scores(blocks, plan, trees)
-    return Forests({x.number: trees[i] for i, x in enumerate(lanes)}, {x.number: scores[i].tolist() for i, x in enumerate(lanes)})
+    scores = _held_scores(blocks, plan, trees) if any(r[0] == x.held for r in counts for x in lanes) else np.zeros((len(lanes), 4))
+    return Forests({x.number: trees[i] for i, x in enumerate(lanes)}, {x.number: scores[i].tolist() for i, x in enumerate(lanes)},
+                   {x.number: growing.importance(i, len(features)).tolist() for i, x in enumerate(lanes)}, features, cuts, loss)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,11 @@ from perigee.operators.quality import not_finite, not_positive, require, violati
 from perigee.operators.scaling import Scaler, fit_scalers
 from perigee.operators.splits import SEED, stratified_split
 from perigee.schema import CLF_FEATURES, CLF_TARGET, ENGINEERED, RAW_COLUMNS, REG_FEATURES, REG_TARGET
+from perigee.session import stable
 from perigee.sources.tables import load_splits, write_splits
 
+#: Rows of a partition of the modelling table up to MOST_PARTS of them, and rows that these then grow to.
+PART_ROWS, MOST_PARTS, LARGE_PART = 25_000, 96, 1_000_000
 SPLIT_COLUMNS = ["task", "split", "row_key", "approach_id", "synthetic", "label", *CLF_FEATURES]
 
 
@@ -72,6 +76,11 @@ def _store_rows(df: DataFrame, *rows: Column) -> DataFrame:
     return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*").select(*SPLIT_COLUMNS)
 
 
+def dealt(table: DataFrame, rows: int) -> DataFrame:
+    """A saved copy in partitions by the number of rows: a small file of many rows is read by few tasks."""
+    return stable(table.repartition(max(1, min(math.ceil(rows / PART_ROWS), MOST_PARTS), math.ceil(rows / LARGE_PART))))
+
+
 def prepare(approaches: DataFrame, path: str, seed: int = SEED, k: int = 5, scale_first: bool = False) -> Prepared:
     """Run the whole preparation and write the split store to ``path``.
 
@@ -79,7 +88,9 @@ def prepare(approaches: DataFrame, path: str, seed: int = SEED, k: int = 5, scal
     test rows are scaled with the training state.
     """
     check_table(approaches)
-    split = stratified_split(modelling_table(approaches), CLF_TARGET, seed=seed).withColumns({
+    # read for the cuts, the balance, the scalers and the store
+    table = dealt(modelling_table(approaches), approaches.count())
+    split = stratified_split(table, CLF_TARGET, seed=seed).withColumns({
         "row_key": F.col("approach_id").cast("string"), "synthetic": F.lit(False),
     })
     train = split.where(F.col("split") == "train")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from perigee.operators.balance import synthetic_training_rows, weight_column, with_synthetic
 from perigee.operators.metrics import auc_roc, classification_metrics, regression_metrics
 from perigee.operators.splits import SEED, kfold, stratified_kfold
-from perigee.plans.bagging import fit_forests
+from perigee.plans.bagging import BaggedModel, fit_forests
 from perigee.plans.boosting import BoostedModel, Lane, f1_weighted, fit_lanes, r2
 from perigee.schema import CLF_FEATURES, REG_FEATURES
 
@@ -131,13 +131,14 @@ def cached_rows(df: DataFrame, task: str) -> Iterator[tuple[DataFrame, int]]:
     """Training rows held in memory or on disk for the passes of a fit, and their number.
 
     MLlib draws bags and subsamples by partition and place, so rows are dealt by key into a number of partitions that
-    follows from the row count alone, and sorted there: the same rows give the same draws on any cluster.
+    follows from the row count alone, and sorted there: the same rows give the same draws on any cluster. Forests draw
+    by row_key, which is kept.
     """
     key = [c for c in ("row_key",) if c in df.columns]
     rows, n = training_rows(df, task, *key), df.count()
     plain = [c for c in rows.columns if c not in key]
     rows = rows.repartition(fit_partitions(n), *(key or plain)).sortWithinPartitions(*key, *plain)
-    rows = rows.select(*plain).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.select(*plain, *key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows, n
     finally:
@@ -150,16 +151,28 @@ def fit(name: str, task: str, train: DataFrame, settings: Settings, overrides: d
 
 
 def fit_rows(name: str, rows: DataFrame, n: int, settings: Settings, overrides: dict | None = None) -> PipelineModel:
-    """Fit on training rows. Boosted models with the sizes of the settings are fitted as one lane: a round of MLlib
-    costs several jobs over the rows as objects, a lane sums binned rows as arrays."""
-    if overrides or name not in ("GradientBoostingClassifier", "GradientBoostingRegressor"):
+    """Fit on training rows. Boosted models and forests with the sizes of the settings are fitted as one lane: a round or
+    level of MLlib costs jobs over the rows as objects, a lane sums binned rows as arrays."""
+    if overrides or not name.startswith(("GradientBoosting", "RandomForest")):
         return estimator(name, n, settings, overrides).fit(rows)
     s, task = settings, "clf" if name in CLASSIFIERS else "reg"
-    lane = Lane(0, s.boosted_trees, s.boosted_depth, s.learning_rate)
-    # every round draws all rows, so their keys tell nothing
-    rows = rows.withColumns({"part": F.lit(0), "row_key": F.lit(0)})
-    fits = fit_lanes(rows, features_of(task), [lane], "logistic" if task == "clf" else "squared", bins=s.max_bins)
-    return PipelineModel([VectorAssembler(inputCols=features_of(task), outputCol="features"), BoostedModel(fits.model(0))])
+    features, loss = features_of(task), "logistic" if task == "clf" else "squared"
+    if name.startswith("RandomForest"):
+        lane = Lane(0, s.forest_trees, s.forest_depth, 1.0 / s.forest_trees)
+        key = F.col("row_key") if "row_key" in rows.columns else F.xxhash64(*rows.columns)  # equal rows are drawn alike
+        rows = rows.withColumns({"part": F.lit(0), "row_key": key})
+        model = BaggedModel(fit_forests(rows, features, [lane], loss, bins=s.max_bins, per_node=per_node(task), seed=s.seed).model(0))
+    else:
+        lane = Lane(0, s.boosted_trees, s.boosted_depth, s.learning_rate)
+        # every round draws all rows, so their keys tell nothing
+        rows = rows.withColumns({"part": F.lit(0), "row_key": F.lit(0)})
+        model = BoostedModel(fit_lanes(rows, features, [lane], loss, bins=s.max_bins).model(0))
+    return PipelineModel([VectorAssembler(inputCols=features, outputCol="features"), model])
+
+
+def per_node(task: str) -> int:
+    """Features that a forest tries at a split: all for values, the root of their number for classes."""
+    return math.ceil(math.sqrt(len(CLF_FEATURES))) if task == "clf" else len(REG_FEATURES)
 
 
 def predictions(model: PipelineModel, df: DataFrame, task: str) -> DataFrame:
@@ -277,9 +290,8 @@ def cross_validate(
             fitted = [Lane(f, s.boosted_trees, s.boosted_depth, s.learning_rate, held=f) for f in range(k)]
             scores = fit_lanes(folded, features, fitted, loss, "fold", key, s.max_bins).scores()
         else:
-            per_node = math.ceil(math.sqrt(len(features))) if task == "clf" else len(features)
             fitted = [Lane(f, s.forest_trees, s.forest_depth, 1.0 / s.forest_trees, held=f) for f in range(k)]
-            scores = fit_forests(folded, features, fitted, loss, "fold", key, s.max_bins, per_node, s.seed).scores
+            scores = fit_forests(folded, features, fitted, loss, "fold", key, s.max_bins, per_node(task), s.seed).scores
         return [(name, f, measure(x)) for f, x in sorted(scores.items())]
 
     at_once = [n for n in names if n.startswith(("GradientBoosting", "RandomForest")) and not resample]

@@ -115,3 +115,22 @@ def test_folds_of_forests_are_fitted_in_one_pass(table, monkeypatch, task, name)
     monkeypatch.setattr(training, "fit", one_by_one)
     lanes = {r["fold"]: r["score"] for r in training.cross_validate(task, df, [name], settings, k=3).collect()}
     assert lanes.keys() == plain.keys() and all(abs(lanes[f] - plain[f]) < 0.03 for f in lanes)
+
+
+@pytest.mark.parametrize("task, name", [("clf", "RandomForestClassifier"), ("reg", "RandomForestRegressor")])
+def test_baseline_forests_are_lanes_as_good_as_those_of_mllib(table, tmp_path, task, name):
+    """Metrics near those of MLlib's forest of the same settings; importances name the same features; saved and loaded."""
+    names = training.features_of(task)
+    df = table.withColumn("label", label_of("squared" if task == "reg" else "logistic")).withColumns(
+        {c: F.col(COLUMNS[i]) if i < 4 else F.lit(1.0) for i, c in enumerate(names)})
+    settings = training.Settings(forest_trees=10, forest_depth=6)
+    model, weighted = training.fit(name, task, df, settings), training.training_rows(df, task)
+    plain = training.estimator(name, 3000, settings).fit(weighted)
+    metric = "f1_weighted" if task == "clf" else "r2"
+    scores = [training.evaluate(m, df, task)[metric] for m in (model, plain)]
+    assert type(model.stages[-1]).__name__ == "BaggedModel" and abs(scores[0] - scores[1]) < 0.03
+    mine, theirs = (m.stages[-1].featureImportances.toArray() for m in (model, plain))
+    assert mine.sum() == pytest.approx(1) and np.abs(mine - theirs).max() < 0.1 and (mine[4:] == 0).all()
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = training.predictions(training.PipelineModel.load(str(tmp_path / "m")), df, task)
+    assert again.exceptAll(training.predictions(model, df, task)).isEmpty()

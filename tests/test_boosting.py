@@ -182,3 +182,36 @@ def test_a_boosted_model_in_a_pipeline_is_saved(table, tmp_path, loss):
     want = sorted(fitted.transform(df).select("row_key", "prediction").collect())
     for m in (model, PipelineModel.load(str(tmp_path / "m"))):
         assert sorted(m.transform(df).select("row_key", "prediction").collect()) == want
+
+
+@pytest.mark.parametrize("cells", [0, 900, 10**9])
+def test_sums_sent_and_sums_grouped_give_the_same_trees(table, monkeypatch, cells):
+    """Levels in groups, the first ones sent to the driver, or all: each lane's trees are those of one task."""
+    lanes = fit_lanes(table, ["a", "b", "c"], LANES, bins=16)
+    monkeypatch.setattr(boosting, "DRIVER_CELLS", cells)
+    rows = fit_lanes(table.repartition(3), ["a", "b", "c"], LANES, bins=16, local_bytes=0)
+    assert [rows.model(i) for i in range(4)] == [lanes.model(i) for i in range(4)]
+
+
+def test_a_round_has_one_job_per_level_above_the_leaves(spark, table):
+    """Values of the last level follow from the splits above, without a pass over the rows."""
+    jobs = {}
+    for rounds in (1, 5):
+        spark.sparkContext.setJobGroup(f"rounds-{rounds}", "")
+        fit_lanes(table, ["a", "b", "c"], [Lane(0, rounds, 3, 0.3)], bins=16, local_bytes=0)
+        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{rounds}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[5] - jobs[1] == 4 * 3
+
+
+def test_each_feature_has_quantiles_of_its_own(spark):
+    rows = spark.createDataFrame([(float(i), None if i % 2 else float(-i), None) for i in range(100)], "a double, b double, c double")
+    assert boosting.quantiles(rows.repartition(7), ["a", "b", "c"], [0.1, 0.5]) == [[9.0, 49.0], [-90.0, -50.0], []]
+
+
+def test_quantiles_of_many_values_are_near(spark, monkeypatch):
+    """A task that has more values than it may tell of moves a quantile by at most such a share of the rows."""
+    monkeypatch.setattr(boosting, "RANKED_VALUES", 100)
+    rows = spark.range(20_000).selectExpr("cast(id * 7919 % 20000 AS double) AS a").repartition(6)
+    found = boosting.quantiles(rows, ["a"], [i / 10 for i in range(1, 10)])[0]
+    assert np.abs(np.array(found) - np.arange(1, 10) * 2000).max() <= 200

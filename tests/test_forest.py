@@ -133,3 +133,10 @@ def test_joined_and_sent_nodes_give_the_same_trees(table, monkeypatch):
         forest = f.fit_forest(table, FEATURES, "y", "row_key", 2, 2, grow_rows=400)
         found.append(sorted(map(tuple, forest.subtrees.collect())) + sorted(map(tuple, forest.splits.collect())))
     assert found[0] == found[1]
+
+
+def test_bins_are_found_by_halving(spark):
+    """As many cuts as a value is above, for every number of cuts and values at, between and outside the cuts."""
+    rows = spark.createDataFrame([(x / 2, [float(c) for c in range(n)]) for n in range(f.NODE_BINS + 1) for x in (-1, 0, 1, n - 1, 2 * n - 2, 2 * n)], "x double, cuts array<double>")
+    wrong = rows.where(f._bin(F.col("x"), F.col("cuts")) != F.size(F.filter("cuts", lambda c: c < F.col("x"))))
+    assert wrong.isEmpty() and rows.select(F.max(f._bin(F.col("x"), F.col("cuts")))).first()[0] == f.NODE_BINS

@@ -31,8 +31,9 @@ from perigee.plans import forest
 from perigee.plans.boosting import MAX_BINS, UNIT, Block, Lane, _binned, block_of, blocks_of, mixed, quantiles, scores_of
 from perigee.plans.forest import Tree, poisson_marks
 
-#: Drawn rows up to which one task grows a node, and rows of a partition.
-GROW_ROWS, PART_ROWS = 1_000_000, 20_000
+#: Rows up to which one task grows a node (some 100 bytes each; a level more of large nodes reads all rows again), and
+#: rows of a partition.
+GROW_ROWS, PART_ROWS = 8_000_000, 20_000
 #: Nodes whose sums a task holds before it sends them.
 HELD_NODES = 10_000
 #: Even quantiles of the rows that cuts are chosen from.

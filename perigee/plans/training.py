@@ -176,8 +176,12 @@ def per_node(task: str) -> int:
 
 
 def predictions(model: PipelineModel, df: DataFrame, task: str) -> DataFrame:
-    """label, prediction and score (probability of class 1, or the margin where the model has none)."""
-    out = model.transform(df)
+    """label, prediction and score (probability of class 1, or the margin where the model has none).
+
+    A split is few files, read by few tasks, so its rows are dealt by their number.
+    """
+    parts = fit_partitions(df.count())
+    out = model.transform(df.repartition(parts) if parts > 1 else df)
     keep = [c for c in ("row_key", "approach_id", "split") if c in df.columns]
     if task == "reg":
         return out.select(*keep, "label", "prediction")

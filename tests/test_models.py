@@ -165,3 +165,23 @@ def test_importance_and_card(spark, trained):
     text = json.loads(card.card_json(made).first()["card"])
     assert text["features"]["reg_features"] == REG_FEATURES and text["regressor"]["hyperparams"] == {"seed": "42"}
     assert card.metric_summary(made).count() == 5
+
+
+def test_predictions_of_a_single_file_are_dealt(spark, prepared, trained, monkeypatch):
+    """Rows that one task reads are predicted by as many tasks as their number asks for, with the same results."""
+    model, rows = trained["reg"].models["RandomForestRegressor"], prepared.load("reg", "train").coalesce(1)
+    plain = training.predictions(model, rows, "reg")
+    monkeypatch.setattr(training, "ROWS_PER_CORE", 100)
+    dealt = training.predictions(model, rows, "reg")
+    assert plain.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() == training.fit_partitions(rows.count()) > 1
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+
+
+def test_preparation_spreads_rows_by_their_number(spark, monkeypatch):
+    from perigee.plans import preprocess
+
+    rows = spark.range(1000).coalesce(1)
+    assert preprocess.dealt(rows, 1000).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(preprocess, "PART_ROWS", 250)
+    many = preprocess.dealt(rows, 1000)
+    assert many.rdd.getNumPartitions() == 4 and many.exceptAll(rows).isEmpty() and many.count() == 1000

@@ -33,7 +33,7 @@ from perigee.plans.forest import Tree, poisson_marks
 
 #: Rows up to which one task grows a node (some 100 bytes each; a level more of large nodes reads all rows again), and
 #: rows of a partition.
-GROW_ROWS, PART_ROWS = 8_000_000, 20_000
+GROW_ROWS, PART_ROWS = 5_000_000, 20_000
 #: Nodes whose sums a task holds before it sends them.
 HELD_NODES = 10_000
 #: Even quantiles of the rows that cuts are chosen from.
